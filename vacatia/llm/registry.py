@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacatia.llm import secrets, urls
+from vacatia.llm import neardup, secrets, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_secret_scan": secrets.op2_secret_scan,
+        "op4_near_duplicates": neardup.op4_near_duplicates,
         "op9_url_filter": urls.op9_url_filter,
     }
 
