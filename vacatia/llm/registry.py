@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacatia.llm import neardup, secrets, toxicity, urls
+from vacatia.llm import langid, neardup, secrets, toxicity, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_near_duplicates": neardup.op4_near_duplicates,
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_url_filter": urls.op9_url_filter,
+        "op10_language_id": langid.op10_language_id,
     }
 
 
