@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacatia.llm import langid, neardup, secrets, toxicity, urls
+from vacatia.llm import decontaminate, langid, neardup, secrets, toxicity, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_secret_scan": secrets.op2_secret_scan,
+        "op3_decontaminate": decontaminate.op3_decontaminate,
         "op4_near_duplicates": neardup.op4_near_duplicates,
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_url_filter": urls.op9_url_filter,
