@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacatia.llm import decontaminate, langid, neardup, secrets, toxicity, urls
+from vacatia.llm import decontaminate, langid, mixing, neardup, secrets, toxicity, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_secret_scan": secrets.op2_secret_scan,
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op4_near_duplicates": neardup.op4_near_duplicates,
+        "op6_mix": mixing.op6_mix,
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_url_filter": urls.op9_url_filter,
         "op10_language_id": langid.op10_language_id,
