@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacatia.llm import decontaminate, langid, mixing, neardup, secrets, toxicity, urls
+from vacatia.llm import chat, decontaminate, langid, mixing, neardup, secrets, toxicity, urls, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,7 +14,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_secret_scan": secrets.op2_secret_scan,
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op4_near_duplicates": neardup.op4_near_duplicates,
+        "op5_chat_rotation": chat.op5_chat_rotation,
         "op6_mix": mixing.op6_mix,
+        "op7_merkle_audit": warc.op7_merkle_audit,
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_url_filter": urls.op9_url_filter,
         "op10_language_id": langid.op10_language_id,
@@ -22,4 +24,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secret_scan": secrets.oracle(), "op9_url_filter": urls.oracle()}
+    return {
+        "op2_secret_scan": secrets.oracle(),
+        "op5_chat_rotation": chat.oracle(),
+        "op7_merkle_audit": warc.oracle(),
+        "op9_url_filter": urls.oracle(),
+    }
