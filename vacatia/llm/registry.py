@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacatia.llm import chat, decontaminate, langid, mixing, neardup, secrets, toxicity, urls, warc
+from vacatia.llm import chat, decontaminate, langid, mixing, neardup, search, secrets, toxicity, urls, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_search": search.op1_search,
         "op2_secret_scan": secrets.op2_secret_scan,
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op4_near_duplicates": neardup.op4_near_duplicates,
