@@ -7,8 +7,9 @@
    in the largest buckets, so a group of copies costs as many comparisons as it has members, not their square.
 4. Signature verification drops pairs whose minima agree too seldom; the rest is confirmed on the full shingle sets.
 5. Components by alternating large-star and small-star.
-6. Buckets whose members are still in several components get all pairs between those components compared (by signature
-   in blocks of bounded size, then on full sets), so that no link within a bucket is lost.
+6. A hub and those near it by signature are a family. Families still in several components get all pairs between those
+   components compared, on full sets and in blocks of bounded size, which give back no more links than join components.
+   Buckets still in several components get their other pairs compared too, so no link within a bucket is lost.
 
 Banding misses a pair of similarity 0.8 with probability (1 - 0.8^4)^32, about 5e-8.
 
@@ -37,6 +38,8 @@ HASHES = BANDS * ROWS
 MARGIN = 0.2
 #: Buckets up to this size pair their members by a join, larger ones in blocks of CELL members a side.
 SMALL, CELL = 64, 512
+#: Up to so many ids (counted) are broadcast to pick out their texts; beyond, texts are shuffled to them.
+MOST_SENT = 200_000
 
 _RNG = np.random.Generator(np.random.PCG64(20))
 _A = _RNG.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -124,7 +127,7 @@ def signatures(docs: DataFrame, k: int, text: str, key: str) -> DataFrame:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, k: int, text: str, key: str) -> DataFrame:
-    """(id, set) of the given ids: the sorted distinct shingle hashes as bytes."""
+    """(id, set) of the given distinct ids: the sorted distinct shingle hashes as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -133,19 +136,34 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int, text: str, key: str) -> DataF
                 v, at = shingle_sets(data, off[i : j + 1], k)
                 yield pa.RecordBatch.from_arrays([b.column("id").slice(i, j - i), pa.array([v[at[r] : at[r + 1]].tobytes() for r in range(j - i)], pa.binary())], ["id", "set"])
 
+    ids = materialize(ids, "ids")
+    if ids.count() <= MOST_SENT:
+        ids = F.broadcast(ids)
     some = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(ids, "id", "left_semi")
-    return some.mapInArrow(run, "id long, set binary")
+    return materialize(some.mapInArrow(run, "id long, set binary"), "sets")
 
 
-def _confirm(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, k: int, least: int, of: int, text: str, key: str) -> DataFrame:
-    """The pairs (a, b) whose sets have of * intersection >= least * union."""
+def _with_both(edges: DataFrame, what: DataFrame, col: str) -> DataFrame:
+    a = what.select(F.col("id").alias("a"), F.col(col).alias("sa"))
+    b = what.select(F.col("id").alias("b"), F.col(col).alias("sb"))
+    return edges.join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
+
+
+def _likely(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose signatures agree often enough."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             m = [np.frombuffer(b"".join(x.column(c).to_pylist()), np.uint8).reshape(-1, HASHES) for c in ("sa", "sb")]
-            ok = (m[0] == m[1]).mean(axis=1) >= least / of - MARGIN
+            ok = (m[0] == m[1]).mean(axis=1) >= least - MARGIN
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], ["a", "b"]).filter(pa.array(ok))
 
+    return materialize(_with_both(pairs, sigs, "sig").mapInArrow(near, "a long, b long"), "likely")
+
+
+def _confirmed(likely: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
+    """The pairs (a, b) whose sets have of * intersection >= least * union."""
+
     def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             ok = []
@@ -158,17 +176,11 @@ def _confirm(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, k: int, least:
                 ok.append(of * both >= least * (len(u) + len(v) - both))
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    def with_both(edges: DataFrame, what: DataFrame, col: str) -> DataFrame:
-        a = what.select(F.col("id").alias("a"), F.col(col).alias("sa"))
-        b = what.select(F.col("id").alias("b"), F.col(col).alias("sb"))
-        return edges.join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
+    return materialize(_with_both(likely, sets, "set").mapInArrow(same, "a long, b long"), "links")
 
-    likely = materialize(with_both(pairs, sigs, "sig").mapInArrow(near, "a long, b long"), "likely")
-    ids = likely.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = materialize(_sets(docs, ids, k, text, key), "sets")
-    out = materialize(with_both(likely, sets, "set").mapInArrow(same, "a long, b long"), "links")
-    discard(sets)
-    return out
+
+def _vertices(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -200,33 +212,77 @@ def components(edges: DataFrame) -> DataFrame:
         e, before = nxt, now
 
 
-def _leftover_pairs(members: DataFrame, comps: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of a bucket's members that are in different components."""
-    m = members.join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = m.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("bucket")
-    m = materialize(m.join(mixed, "bucket").select("bucket", "rep", "component", "size"), "mixed")
-    small = m.filter(F.col("size") <= SMALL)
-    other = small.select("bucket", F.col("rep").alias("b"), F.col("component").alias("other"))
-    pairs = small.withColumnRenamed("rep", "a").join(other, "bucket").filter("a < b and component <> other").select("a", "b")
-
-    big = m.filter(F.col("size") > SMALL)
+def _blocks(members: DataFrame, group: str) -> DataFrame:
+    """Rows (group, i, j, own, rep, ...) so that any two members of a group meet in one block (i, j) of at most two cells."""
     cells = F.ceil(F.col("size") / CELL).cast("int")
     own = F.pmod(F.xxhash64("rep"), cells).cast("int")
-    blocks = big.join(sigs.select(F.col("id").alias("rep"), "sig"), "rep").withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), cells - 1)))
-    blocks = blocks.select("bucket", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "rep", "component", "sig")
+    out = members.withColumn("own", own).withColumn("with", F.explode(F.sequence(F.lit(0), cells - 1)))
+    return out.withColumn("i", F.least("own", "with")).withColumn("j", F.greatest("own", "with")).drop("with", "size")
+
+
+def _mixed(members: DataFrame, comps: DataFrame, group: str) -> DataFrame:
+    """(group, rep, component, size) of the groups whose members are in several components."""
+    m = members.join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed = m.groupBy(group).agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).filter("lo <> hi").select(group, "size")
+    return m.select(group, "rep", "component").join(mixed, group)
+
+
+def _family_links(families: DataFrame, comps: DataFrame, sigs: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
+    """Links (a, b) between components within families: of each block as many as join components, all being confirmed."""
+    full = sigs.join(sets, "id").withColumnRenamed("id", "rep")
+    blocks = _blocks(_mixed(families, comps, "family"), "family").join(full, "rep")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rep", ignore_index=True)
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(-1, HASHES)
+        held = [np.frombuffer(x, np.uint64) for x in pdf["set"]]
+        size = np.array([len(x) for x in held])
+        rep, root = pdf["rep"].to_numpy(), pdf["component"].to_numpy().copy()
         i, j = pdf["i"].iat[0], pdf["j"].iat[0]
         left, right = np.flatnonzero(pdf["own"] == i), np.flatnonzero(pdf["own"] == j)
-        rep, comp = pdf["rep"].to_numpy(), pdf["component"].to_numpy()
         found = []
+        for x in left:
+            y = right if i != j else right[right > x]
+            y = y[root[y] != root[x]]
+            y = y[of * np.minimum(size[y], size[x]) >= least * np.maximum(size[y], size[x])]
+            y = y[(sig[y] == sig[x]).mean(axis=1) >= least / of - MARGIN]
+            if not len(y):
+                continue
+            every = np.concatenate([held[q] for q in y])
+            at = np.minimum(np.searchsorted(held[x], every), size[x] - 1)
+            both = np.add.reduceat(held[x][at] == every, np.concatenate([[0], np.cumsum(size[y])[:-1]]))
+            for q in y[of * both >= least * (size[x] + size[y] - both)]:
+                if root[q] != root[x]:
+                    found.append((rep[x], rep[q]))
+                    root[root == root[q]] = root[x]
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return blocks.groupBy("family", "i", "j").applyInPandas(compare, "a long, b long")
+
+
+def _bucket_pairs(members: DataFrame, families: DataFrame, comps: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of a bucket's members that are in different components and in no family together."""
+    own = families.groupBy("rep").agg(F.collect_set("family").alias("families"))  # hubs of one's buckets, so at most BANDS
+    m = _mixed(members.select("bucket", "rep"), comps, "bucket").join(own, "rep", "left")
+    m = materialize(m.withColumn("families", F.coalesce("families", F.array().cast("array<long>"))), "mixed")
+    small = m.filter(F.col("size") <= SMALL)
+    other = small.select("bucket", F.col("rep").alias("b"), F.col("component").alias("other"), F.col("families").alias("of_b"))
+    apart = (F.col("a") < F.col("b")) & (F.col("component") != F.col("other")) & ~F.arrays_overlap("families", "of_b")
+    pairs = small.withColumnRenamed("rep", "a").join(other, "bucket").filter(apart).select("a", "b")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(-1, HASHES)
+        i, j = pdf["i"].iat[0], pdf["j"].iat[0]
+        left, right = np.flatnonzero(pdf["own"] == i), np.flatnonzero(pdf["own"] == j)
+        rep, comp, fams = pdf["rep"].to_numpy(), pdf["component"].to_numpy(), [set(f) for f in pdf["families"]]
+        found = set()
         for x in left:
             ok = ((sig[right] == sig[x]).mean(axis=1) >= least - MARGIN) & (comp[right] != comp[x])
-            found += [(min(rep[x], r), max(rep[x], r)) for r in rep[right[ok]]]
-        return pd.DataFrame(found, columns=["a", "b"]).astype("int64").drop_duplicates()
+            found.update((min(rep[x], rep[r]), max(rep[x], rep[r])) for r in right[ok] if fams[x].isdisjoint(fams[r]))
+        return pd.DataFrame(sorted(found), columns=["a", "b"]).astype("int64")
 
-    return pairs.union(blocks.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")).distinct()
+    big = _blocks(m.filter(F.col("size") > SMALL), "bucket").join(sigs.withColumnRenamed("id", "rep"), "rep")
+    return pairs.union(big.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, least: int = 80, of: int = 100, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -242,12 +298,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, least: int = 80, of: int = 100,
     members = materialize(rows.join(sizes, "bucket").select("bucket", "rep", "size"), "members")
     weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
     hubs = members.join(weight, "rep").groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("hub")).select("bucket", (-F.col("hub.rep")).alias("hub"))
-    pairs = members.join(hubs, "bucket").filter("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-    links = _confirm(pairs, sigs, docs, k, least, of, text, key)
+    near_hub = _likely(members.join(hubs, "bucket").filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), sigs, least / of)
+    sets = _sets(docs, _vertices(near_hub), k, text, key)
+    links = _confirmed(near_hub, sets, least, of)
     comps = components(links)
-    more = materialize(_leftover_pairs(members, comps, sigs, least / of), "leftover")
+    families = near_hub.select(F.col("b").alias("family"), F.col("a").alias("rep")).union(near_hub.select("b", "b")).distinct()
+    more = materialize(_family_links(families, comps, sigs, sets, least, of), "family-links")
+    discard(sets)
     if not more.isEmpty():
-        more = _confirm(more, sigs, docs, k, least, of, text, key)
+        links = links.union(more)
+        comps = components(links)
+    pairs = _likely(_bucket_pairs(members, families, comps, sigs, least / of), sigs, least / of)
+    if not pairs.isEmpty():
+        more = _confirmed(pairs, _sets(docs, _vertices(pairs), k, text, key), least, of)
         if not more.isEmpty():
             comps = components(links.union(more))
     of_class = classes.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select("class", F.coalesce("component", "rep").alias("component_id"))
