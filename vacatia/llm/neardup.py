@@ -319,6 +319,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, least: int = 80, of: int = 100,
     return out.select(F.col("id").cast(kind).alias(key), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, k: int = 5, least: int = 80, of: int = 100, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """docs with one document of each class of near copies, of rows equal in id and text one, and every row that is linked with nothing.
+
+    An id goes only if all its rows do. The ids that go are broadcast up to MOST_SENT of them (counted)."""
+    found = near_duplicates(docs, k, least, of, text, key)
+    per_id = materialize(found.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max("kept").alias("kept"), F.count("*").alias("rows")).filter("not kept or rows > 1"), "decided")
+    sent = F.broadcast if per_id.count() <= MOST_SENT else lambda x: x
+    gone, again = per_id.filter("not kept").select(key), per_id.filter("kept").select(key)
+    out = docs.join(sent(gone), key, "left_anti")
+    if not again.isEmpty():
+        out = out.join(sent(again), key, "left_anti").unionByName(docs.join(sent(again), key, "left_semi").dropDuplicates([key, text]))
+    return out.select(*docs.columns)
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's class of near copies over 2-word shingles, by its smallest doc_id."""
     return near_duplicates(table(spark, sf_dir, "documents"), k=2)

@@ -227,6 +227,25 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     return out
 
 
+def _scored(index: Index, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, list[str]]]:
+    """First row, scores and evidence of each slice of texts."""
+    data, off = _lowered(texts)
+    for i, j in slices(off, 1 << 19):
+        rows, h, n = _terms(data, off[i : j + 1])
+        rows, at = _known(rows, h, index.vocabulary, index.filter)
+        x = vectors(rows, at, n, index.idf)
+        seen = np.flatnonzero(x.any(axis=1))
+        scores = np.full(n, index.prior)
+        evidence = [""] * n
+        for a in range(0, len(seen), 256):
+            part = seen[a : a + 256]
+            who, cosine = index.nearest(x[part], NEIGHBOURS)
+            scores[part] = index.calibrated(index.vote(who, cosine))
+            for r, w, c in zip(part, who[:, :3], cosine[:, :3], strict=True):
+                evidence[r] = ",".join(f"{index.ids[e]}:{max(s, 0):.4f}:{int(index.labels[e])}" for e, s in zip(w, c, strict=True))
+        yield i, scores, evidence
+
+
 def score(docs: DataFrame, index: Index | None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, score, evidence) of every row: evidence is the three nearest examples, as id:cosine:label."""
     kind = dict(docs.dtypes)[key]
@@ -236,27 +255,27 @@ def score(docs: DataFrame, index: Index | None, text: str = "text", key: str = "
     shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by MOST_EXAMPLES and the vocabulary's size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ix = shared.value
         for b in batches:
-            data, off = _lowered(b.column("text"))
-            for i, j in slices(off, 1 << 19):
-                rows, h, n = _terms(data, off[i : j + 1])
-                rows, at = _known(rows, h, ix.vocabulary, ix.filter)
-                x = vectors(rows, at, n, ix.idf)
-                seen = np.flatnonzero(x.any(axis=1))
-                scores = np.full(n, ix.prior)
-                evidence = [""] * n
-                for a in range(0, len(seen), 256):
-                    part = seen[a : a + 256]
-                    who, cosine = ix.nearest(x[part], NEIGHBOURS)
-                    scores[part] = ix.calibrated(ix.vote(who, cosine))
-                    for r, w, c in zip(part, who[:, :3], cosine[:, :3], strict=True):
-                        evidence[r] = ",".join(f"{ix.ids[e]}:{max(s, 0):.4f}:{int(ix.labels[e])}" for e, s in zip(w, c, strict=True))
-                yield pa.RecordBatch.from_arrays([b.column(key).slice(i, j - i), pa.array(scores), pa.array(evidence)], [key, "score", "evidence"])
+            for i, scores, evidence in _scored(shared.value, b.column("text")):
+                yield pa.RecordBatch.from_arrays([b.column(key).slice(i, len(scores)), pa.array(scores), pa.array(evidence)], [key, "score", "evidence"])
 
     return docs.select(key, F.col(text).alias("text")).mapInArrow(run, schema)
 
 
+def reject(docs: DataFrame, index: Index | None, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """docs without the rows that score the threshold or more, with all their columns."""
+    if index is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, scores, _ in _scored(shared.value, b.column(text)):
+                yield b.slice(i, len(scores)).filter(pa.array(scores < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's score, learnt only from labels whose crc32(doc_id) mod 4 is not 2."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
