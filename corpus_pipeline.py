@@ -1,19 +1,59 @@
-"""The corpus pipeline: stages over documents, each on what its predecessor kept."""
+"""The corpus pipeline: stages over documents, each on what its predecessor kept.
+
+Toxic documents go, one document of each class of near copies stays, documents that hold benchmark passages go, secrets
+are replaced in the texts that stay, and the rest is sampled to target weights.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vacatia.llm import decontaminate, mixing, neardup, secrets, toxicity
+from vacatia.llm.common import materialize, table
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop what scores as toxic; learnt from the labels that op8 may learn from."""
+    labels = table(spark, sf_dir, "labels").filter(~toxicity.held_out("doc_id", 4, 2))
+    return toxicity.reject(docs, toxicity.fit(docs, labels))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the smallest id of each class over 5-word shingles at a similarity of 0.8."""
+    return neardup.one_of_each(docs)
+
 
-STAGES: list = []
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold at least half of a benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Put marks in the place of secrets, and the new length in n_chars."""
+    out = secrets.redact(docs)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in out.columns else out
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sample half of the tokens towards the target marginals."""
+    return mixing.sample(docs)
+
+
+STAGES = [
+    ("toxicity", toxic),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", benchmark),
+    ("secret_scans", secret_spans),
+    ("mixing", mix),
+]
 
 #: Iterative stages (components, raking) and a learned score: not expressible in SQL; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from vacatia.llm.common import materialize
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+    return STAGES[-1][1](spark, docs, sf_dir)
