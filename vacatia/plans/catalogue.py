@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Modules of vacatia.plans, each with QUERIES: name -> (query, SQL or None).
-MODULES: tuple[str, ...] = ()
+MODULES: tuple[str, ...] = ("relational", "profiles")
 
 
 def _all() -> dict[str, tuple[Query, str | None]]:
