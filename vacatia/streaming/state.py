@@ -15,6 +15,13 @@ def work_dir(spark: SparkSession) -> str:
     return (base or f"file:///tmp/checkpoints/vacatia-{spark.sparkContext.applicationId}").rstrip("/")
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read back: a step's output is a table, and its plan ends there."""
+    path = f"{work_dir(df.sparkSession)}/vacatia/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def events(spark: SparkSession, path: str) -> DataFrame:
     """A parquet file or folder as a stream."""
     schema = spark.read.parquet(path).schema
