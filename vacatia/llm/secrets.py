@@ -138,39 +138,46 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
     return F.when(F.size(found) > 0, spans)
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """docs with a column spans: array<struct<start, rank, end, kind>> ordered by start, then by the rule's rank; never null.
+def _scanned(docs: DataFrame, rules: tuple[Rule, ...], text: str, key: str) -> DataFrame:
+    """(row: all columns of docs, text, spans). A row's own columns stand in a struct, so no name can clash.
 
     One shuffle of the postings and one of the rows, both by key, which is spread evenly unless rows repeat an id."""
     queried = {r.kind: trigram_query(r.pattern) for r in rules}
     asked = sorted({t for qs in queried.values() for q in qs for t in q})
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(key).alias("key"))
     if asked:
-        found = candidates(index(docs, asked, text, key), rules, key).select(F.col(key).alias("_key"), F.col("kinds").alias("_kinds"))
-        docs = docs.join(found, docs[key].eqNullSafe(found["_key"]), "left").drop("_key")
+        found = candidates(index(docs, asked, text, key), rules, key).select(F.col(key).alias("found"), "kinds")
+        rows = rows.join(found, rows["key"].eqNullSafe(found["found"]), "left")
     else:
-        docs = docs.withColumn("_kinds", F.array().cast("array<string>"))
+        rows = rows.withColumn("kinds", F.array().cast("array<string>"))
     of_rules = []
     for rank, r in enumerate(rules):
-        spans = _spans(F.col(text), r, rank)
-        of_rules.append(F.coalesce(F.when(F.array_contains("_kinds", r.kind), spans) if queried[r.kind] else spans, none))
-    return docs.withColumn("spans", F.array_sort(F.concat(*of_rules))).drop("_kinds")
+        spans = _spans(F.col("text"), r, rank)
+        of_rules.append(F.coalesce(F.when(F.array_contains("kinds", r.kind), spans) if queried[r.kind] else spans, none))
+    return rows.select("row", "text", F.array_sort(F.concat(*of_rules)).alias("spans"))
+
+
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """docs with a column spans (which replaces one of that name): array<struct<start, rank, end, kind>> ordered by start, then
+    by the rule's rank; never null."""
+    own = [c for c in docs.columns if c != "spans"]
+    return _scanned(docs, rules, text, key).select(*[F.col("row").getField(c).alias(c) for c in own], "spans")
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", key: str = "doc_id") -> DataFrame:
     """docs with each span of a secret replaced by [KIND]; overlapping spans are replaced once, under the first's kind."""
-    columns = docs.columns
-    found = scan(docs, rules, text, key)
     pieces = F.aggregate(
         "spans",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.when(
             s["start"] >= acc["at"],
-            F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("out")),
+            F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("out")),
         ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))),
-        lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(text))),
+        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))),
     )
-    return found.withColumn(text, F.when(F.size("spans") > 0, pieces).otherwise(F.col(text))).select(*columns)
+    out = F.when(F.size("spans") > 0, pieces).otherwise(F.col("text"))
+    return _scanned(docs, rules, text, key).select(*[out.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def _joined(spans: Column) -> Column:
