@@ -167,6 +167,8 @@ def language_by_letters(c: Column, *without: Column) -> Column:
     for part in without:
         s = F.when(F.coalesce(part, F.lit("")) != "", F.replace(s, part, F.lit(" "))).otherwise(s)
     s = F.regexp_replace(s, r"(?iuU)chi tiết công việc|\btại\b", " ")
-    letters = F.regexp_count(s, F.lit(r"\p{L}"))
-    marked = F.regexp_count(F.lower(s), F.lit(f"[{T.VI_LETTERS}]"))
+    # most letters are ASCII and go in runs: only the rest is looked at one by one
+    rest = F.regexp_replace(s, r"[\x00-\x7F]+", "")
+    letters = F.length(F.regexp_replace(s, "[^A-Za-z]+", "")) + F.regexp_count(rest, F.lit(r"\p{L}"))
+    marked = F.regexp_count(F.lower(rest), F.lit(f"[{T.VI_LETTERS}]"))
     return F.when(letters == 0, "vi").when(marked / letters < 0.01, "en").otherwise("vi")

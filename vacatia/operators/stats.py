@@ -24,9 +24,49 @@ def fill_rates(df: DataFrame, empty: dict[str, Column]) -> DataFrame:
     return row.select("_n", pairs.alias("f")).select("f.field", "f.filled", F.when(F.col("_n") > 0, F.round(100.0 * F.col("f.filled") / F.col("_n"), 1)).otherwise(0.0).alias("pct"))
 
 
+#: Bins of a pass of exact_quantiles, and how many values it sorts on the driver at the end, at most, for each rank.
+BINS, MOST_SORTED = 1024, 4096
+
+
+def exact_quantiles(df: DataFrame, column: str | Column, at: tuple[float, ...]) -> list[float | None]:
+    """Exact quantiles with linear interpolation, for any number of rows.
+
+    Histograms over ever smaller ranges close in on the ranks: a pass is one scan with a count for each bin, so no task
+    holds the values (percentile() keeps all distinct ones in one)."""
+    c = F.col(column) if isinstance(column, str) else column
+    v = df.select(c.cast("double").alias("v")).filter("v is not null and not isnan(v)")
+    n, lo, hi = v.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    if not n:
+        return [None] * len(at)
+    spots = [(n - 1) * p for p in at]
+    ranks = {r for h in spots for r in (int(h), min(int(h) + 1, n - 1))}
+    within = {r: (lo, hi, 0, n) for r in ranks}  # lowest and highest value, rows below, rows inside
+    while wide := sorted({x for x in within.values() if x[0] < x[1] and x[3] > MOST_SORTED}):
+        inside = F.expr(" ".join(f"WHEN v >= {a!r}D AND v <= {b!r}D THEN {i}" for i, (a, b, _, _) in enumerate(wide)).join(("CASE ", " END")))
+        low, width = (F.create_map(*[F.lit(x) for i, w in enumerate(wide) for x in (i, float(f(w)))]) for f in (lambda w: w[0], lambda w: w[1] - w[0]))
+        parts = v.withColumn("i", inside).filter("i is not null")
+        bin_ = F.least(F.floor((F.col("v") - low[F.col("i")]) / width[F.col("i")] * BINS), F.lit(BINS - 1))
+        rows = parts.groupBy("i", bin_.alias("bin")).agg(F.count("*").alias("n"), F.min("v").alias("a"), F.max("v").alias("b")).orderBy("i", "bin").collect()
+        for r, w in within.items():
+            if w in wide:
+                below = w[2]
+                for row in (x for x in rows if x["i"] == wide.index(w)):
+                    if below + row["n"] > r:
+                        within[r] = (row["a"], row["b"], below, row["n"])
+                        break
+                    below += row["n"]
+    value = {r: w[0] for r, w in within.items() if w[0] == w[1]}
+    left = {r: w for r, w in within.items() if r not in value}
+    for w in set(left.values()):
+        held = sorted(x["v"] for x in v.filter((F.col("v") >= w[0]) & (F.col("v") <= w[1])).collect())
+        value |= {r: held[r - w[2]] for r, x in left.items() if x == w}
+    return [value[int(h)] + (value[min(int(h) + 1, n - 1)] - value[int(h)]) * (h - int(h)) for h in spots]
+
+
 def quantiles(df: DataFrame, column: str, at: tuple[float, ...] = (0.01, 0.25, 0.5, 0.75, 0.99)) -> DataFrame:
-    """Exact quantiles with linear interpolation."""
-    return df.agg(*[F.percentile(column, F.lit(p)).alias(f"p{round(100 * p)}") for p in at])
+    """One row of exact quantiles with linear interpolation."""
+    names = [f"p{round(100 * p)}" for p in at]
+    return df.sparkSession.createDataFrame([tuple(exact_quantiles(df, column, at))], ", ".join(f"{x} double" for x in names))
 
 
 def moments(column: str) -> list[Column]:
@@ -59,12 +99,17 @@ def pareto(df: DataFrame, column: str, n: int) -> DataFrame:
     return most.crossJoin(F.broadcast(total)).select(column, "n", F.round(100.0 * F.sum("n").over(order.rowsBetween(W.unboundedPreceding, 0)) / F.col("_t"), 1).alias("running_pct"))
 
 
+def fences(q1: float | None, q3: float | None) -> tuple[Column, Column]:
+    if q1 is None or q3 is None:
+        return F.lit(None).cast("double"), F.lit(None).cast("double")
+    return F.lit(max(0.0, q1 - 1.5 * (q3 - q1))), F.lit(q3 + 1.5 * (q3 - q1))
+
+
 def iqr_fences(df: DataFrame, column: str) -> DataFrame:
     """One row: low and high fence, outliers and their share."""
-    q = df.agg(F.percentile(column, F.lit(0.25)).alias("q1"), F.percentile(column, F.lit(0.75)).alias("q3"))
-    fences = q.select(F.greatest(F.lit(0.0), F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("low"), (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("high"))
-    out = (F.col(column) < F.col("low")) | (F.col(column) > F.col("high"))
-    return df.crossJoin(F.broadcast(fences)).groupBy("low", "high").agg(F.count_if(out).alias("outliers"), (F.count_if(out) / F.count(column)).alias("share"))
+    low, high = fences(*exact_quantiles(df, column, (0.25, 0.75)))
+    out = (F.col(column) < low) | (F.col(column) > high)
+    return df.agg(F.count_if(out).alias("outliers"), (F.count_if(out) / F.count(column)).alias("share")).select(low.alias("low"), high.alias("high"), "outliers", "share")
 
 
 def clip(c: Column, low: Column, high: Column) -> Column:
@@ -73,15 +118,15 @@ def clip(c: Column, low: Column, high: Column) -> Column:
 
 
 def winsorize(df: DataFrame, column: str, out: str, low: float = 0.01, high: float = 0.99) -> DataFrame:
-    q = df.agg(F.percentile(column, F.lit(low)).alias("_lo"), F.percentile(column, F.lit(high)).alias("_hi"))
-    return df.crossJoin(F.broadcast(q)).withColumn(out, clip(F.col(column), F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi")
+    a, b = (F.lit(x).cast("double") for x in exact_quantiles(df, column, (low, high)))
+    return df.withColumn(out, clip(F.col(column), a, b))
 
 
 def robust_scale(df: DataFrame, column: str, out: str) -> DataFrame:
     """(x - median) / IQR, or x - median without spread."""
-    q = df.agg(F.median(column).alias("_m"), F.percentile(column, F.lit(0.25)).alias("_a"), F.percentile(column, F.lit(0.75)).alias("_b"))
-    spread = F.col("_b") - F.col("_a")
-    return df.crossJoin(F.broadcast(q)).withColumn(out, (F.col(column) - F.col("_m")) / F.when(spread == 0, 1.0).otherwise(spread)).drop("_m", "_a", "_b")
+    a, m, b = exact_quantiles(df, column, (0.25, 0.5, 0.75))
+    spread = 1.0 if a is None or a == b else b - a
+    return df.withColumn(out, (F.col(column) - F.lit(m)) / spread)
 
 
 def fix_salary(c: Column, description: Column) -> Column:
@@ -97,10 +142,9 @@ def normalise_salaries(df: DataFrame, low: str, high: str, description: str) ->
     fixed = fixed.withColumn("salary_suspect", off(low) | off(high))
     fixed = fixed.withColumn(low, F.when(~F.col("salary_suspect"), F.col(low))).withColumn(high, F.when(~F.col("salary_suspect"), F.col(high)))
     rep = F.coalesce(F.col(high), F.col(low))
-    p = lambda c, q: F.percentile(c, F.lit(q))
-    stats = fixed.agg(p(rep, 0.25).alias("_q1"), p(rep, 0.75).alias("_q3"), p(low, 0.01).alias("_l1"), p(low, 0.99).alias("_l99"), p(high, 0.01).alias("_h1"), p(high, 0.99).alias("_h99"))
-    iqr = F.col("_q3") - F.col("_q1")
-    out = fixed.crossJoin(F.broadcast(stats)).withColumn("is_outlier_salary", F.coalesce((rep < F.greatest(F.lit(0.0), F.col("_q1") - 1.5 * iqr)) | (rep > F.col("_q3") + 1.5 * iqr), F.lit(False)))
-    for c, a, b in ((low, "_l1", "_l99"), (high, "_h1", "_h99")):
-        out = out.withColumn(f"{c}_capped", clip(F.col(c), F.col(a), F.col(b))).withColumn(f"log_{c}", F.log1p(f"{c}_capped"))
-    return out.drop("_q1", "_q3", "_l1", "_l99", "_h1", "_h99")
+    under, over = fences(*exact_quantiles(fixed, rep, (0.25, 0.75)))
+    out = fixed.withColumn("is_outlier_salary", F.coalesce((rep < under) | (rep > over), F.lit(False)))
+    for c in (low, high):
+        a, b = (F.lit(x).cast("double") for x in exact_quantiles(fixed, c, (0.01, 0.99)))
+        out = out.withColumn(f"{c}_capped", clip(F.col(c), a, b)).withColumn(f"log_{c}", F.log1p(f"{c}_capped"))
+    return out

@@ -39,7 +39,7 @@ def oracle_sql() -> dict[str, str]:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of at least 30 words, the longest of each text's copies, counted by source and language."""
-    docs = table(spark, sf_dir, "documents").withColumn("words", text.word_count(F.col("text"))).filter(F.col("words") >= T.MIN_WORDS)
+    docs = table(spark, sf_dir, "documents", spread=True).withColumn("words", text.word_count(F.col("text"))).filter(F.col("words") >= T.MIN_WORDS)
     slim = docs.select("doc_id", "source", "lang", "words", F.md5(F.col("text").cast("binary")).alias("copy"))
     best = dedup.latest(slim, ["copy"], [F.desc("words"), F.asc("doc_id")])
     return best.groupBy("source", "lang").agg(F.count("*").alias("n"), F.sum("words").alias("words")).orderBy("source", "lang")

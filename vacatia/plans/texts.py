@@ -18,7 +18,7 @@ _STRIP = r"""nullif(array_to_string(list_filter(list_transform(string_split_rege
 
 @Q(f"select page_id, md5({_STRIP}) as digest, length({_STRIP}) as chars from pages")
 def html_strip(spark: SparkSession, d: str) -> DataFrame:
-    s = table(spark, d, "pages").select("page_id", text.strip_html(F.col("html")).alias("t"))
+    s = table(spark, d, "pages", spread=True).select("page_id", text.strip_html(F.col("html")).alias("t"))
     return s.select("page_id", F.md5(F.col("t").cast("binary")).alias("digest"), F.length("t").cast("bigint").alias("chars"))
 
 
@@ -27,7 +27,7 @@ _VISIBLE = r"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(re
 
 @Q(rf"select page_id, sha256(trim(regexp_replace(regexp_replace(lower({_VISIBLE}), '\d+\s*(?:seconds?|minutes?|hours?|days?|weeks?|months?)\s+ago|\d+\s*views?', '', 'g'), '\s+', ' ', 'g'))) as digest from pages")
 def html_hash(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "pages").select("page_id", urls.content_hash(F.col("html")).alias("digest"))
+    return table(spark, d, "pages", spread=True).select("page_id", urls.content_hash(F.col("html")).alias("digest"))
 
 
 @Q(r"select page_id, trim(regexp_extract(html, '(?is)<title>(.*?)</title>', 1)) as title, regexp_extract(html, '(?i)<html[^>]*lang=\"([^\"]*)\"', 1) as lang, len(regexp_extract_all(html, '(?i)<li[ >]'))::bigint as items from pages")
@@ -87,13 +87,13 @@ _WORDS = r"regexp_extract_all(trim(text), '[\p{L}\p{N}_][\p{L}\p{N}_.-]*[\p{L}\p
 
 @Q(rf"select doc_id, len({_WORDS})::bigint as words, length(trim(text))::bigint as chars, len(list_filter(string_split_regex(trim(text), '[.!?\n]+'), lambda x: trim(x) <> ''))::bigint as sentences, len({_WORDS}) < 30 as is_stub, coalesce(round(len(list_distinct(list_transform({_WORDS}, lambda x: lower(x)))) / len({_WORDS}), 3), 0) as ttr from documents")
 def text_metrics(spark: SparkSession, d: str) -> DataFrame:
-    m = table(spark, d, "documents").select("doc_id", text.metrics(F.col("text")).alias("m")).select("doc_id", "m.*")
+    m = table(spark, d, "documents", spread=True).select("doc_id", text.metrics(F.col("text")).alias("m")).select("doc_id", "m.*")
     return m.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("words", "chars", "sentences")], "is_stub", "ttr")
 
 
 @Q(rf"select source, lang, count(*) as kept, sum(len({_WORDS}))::bigint as words from documents where len({_WORDS}) >= 30 group by all")
 def stub_filter(spark: SparkSession, d: str) -> DataFrame:
-    kept = table(spark, d, "documents").withColumn("words", text.word_count(F.col("text"))).filter(F.col("words") >= T.MIN_WORDS)
+    kept = table(spark, d, "documents", spread=True).withColumn("words", text.word_count(F.col("text"))).filter(F.col("words") >= T.MIN_WORDS)
     return kept.groupBy("source", "lang").agg(F.count("*").alias("kept"), F.sum("words").alias("words"))
 
 
@@ -103,18 +103,18 @@ def _markers(words: tuple[str, ...]) -> str:
 
 @Q(f"select doc_id, case when vi >= 3 and en = 0 then 'vi' when en >= 3 and vi = 0 then 'en' when vi > 0 and en > 0 then 'bilingual' when regexp_matches(lower(text), '[{T.VI_LETTERS}]') then 'vi' else 'en' end as language from (select *, {_markers(T.VI_MARKERS)} as vi, {_markers(T.EN_MARKERS)} as en from documents)")
 def language_markers(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", text.language_by_markers(F.col("text")).alias("language"))
+    return table(spark, d, "documents", spread=True).select("doc_id", text.language_by_markers(F.col("text")).alias("language"))
 
 
 @Q(rf"select doc_id, case when len(regexp_extract_all(text, '\p{{L}}')) = 0 then 'vi' when len(regexp_extract_all(lower(text), '[{T.VI_LETTERS}]')) / len(regexp_extract_all(text, '\p{{L}}')) < 0.01 then 'en' else 'vi' end as language from documents")
 def accent_ratio(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", text.language_by_letters(F.col("text")).alias("language"))
+    return table(spark, d, "documents", spread=True).select("doc_id", text.language_by_letters(F.col("text")).alias("language"))
 
 
 @Q()
 def bullet_stitch(spark: SparkSession, d: str) -> DataFrame:
     items = text.stitch_bullets(F.split("text", "\n"))
-    return table(spark, d, "documents").select("doc_id", F.size(items).alias("n_items"), F.array_join(items, "\n").alias("items"))
+    return table(spark, d, "documents", spread=True).select("doc_id", F.size(items).alias("n_items"), F.array_join(items, "\n").alias("items"))
 
 
 @Q()
