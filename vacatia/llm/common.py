@@ -45,8 +45,11 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """spread: deal the rows out where the files give fewer tasks than there are cores (one small file); else as they lie."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if spread and 2 * df.rdd.getNumPartitions() <= cores else df
 
 
 # --- tokenising -------------------------------------------------------------------------------------------------

@@ -185,4 +185,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) whose tiles cover at least half of the item."""
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contaminated(table(spark, sf_dir, "documents", spread=True), table(spark, sf_dir, "benchmark"))

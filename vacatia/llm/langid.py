@@ -247,7 +247,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", key: str
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language, learnt only from rows whose crc32(doc_id) mod 3 is not 1."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     out = held_out("doc_id", 3, 1)
     found = identify(docs, fit(docs.filter(~out)))
     joined = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["lang"], s["start"], s["end"])), ",")

@@ -335,4 +335,4 @@ def one_of_each(docs: DataFrame, k: int = 5, least: int = 80, of: int = 100, tex
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's class of near copies over 2-word shingles, by its smallest doc_id."""
-    return near_duplicates(table(spark, sf_dir, "documents"), k=2)
+    return near_duplicates(table(spark, sf_dir, "documents", spread=True), k=2)

@@ -278,7 +278,7 @@ def reject(docs: DataFrame, index: Index | None, threshold: float = THRESHOLD, t
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's score, learnt only from labels whose crc32(doc_id) mod 4 is not 2."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     out = held_out("doc_id", 4, 2)
     index = fit(docs, table(spark, sf_dir, "labels").filter(~out))
     return score(docs, index).select("doc_id", out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence")
