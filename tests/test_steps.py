@@ -99,3 +99,42 @@ def test_conservation(spark):
     r.count(df.filter("id > 2"), "out").collect()
     with pytest.raises(quality.NotConserved):
         r.check()
+
+
+def test_any_layout(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"jobs": [{"id": 1, "t": "x"}, {"jobId": "2"}, {"t": "no id"}]}))
+    (tmp_path / "b.json").write_text(json.dumps([{"job_id": "1", "t": "again"}, {"metadata": {"job_id": "3"}, "raw_payload": {"t": "y"}}, {"t": "no id"}]))
+    (tmp_path / "manifest.json").write_text("[]")
+    got = envelopes.load_any(spark, str(tmp_path))
+    assert sorted(str(r["id"]) for r in got.collect()) == ["1", "2", "3", "None", "None"]
+    assert got.filter("id = '1'").selectExpr("try_variant_get(payload, '$.t', 'string') as t").first()["t"] == "x"
+
+
+def test_writers_round_trip(spark, tmp_path):
+    from vacatia.sources import sinks
+
+    df = spark.createDataFrame([("a", "1", ["x", 'y "z"'], "2026-11-01"), ("b", "2", [], "2026-11-02")], "source_platform string, id string, tags array<string>, day string")
+    sinks.lines(df, str(tmp_path / "lines"))
+    assert spark.read.json(str(tmp_path / "lines")).count() == 2
+    sinks.csv(df, str(tmp_path / "csv"))
+    back = spark.read.option("header", "true").option("escape", '"').csv(str(tmp_path / "csv"))
+    assert {r["id"]: json.loads(r["tags"]) for r in back.collect()} == {"1": ["x", 'y "z"'], "2": []}
+    sinks.by_source(df, str(tmp_path / "parts"))
+    assert sorted(p.name for p in (tmp_path / "parts").glob("source_platform=*")) == ["source_platform=a", "source_platform=b"]
+    sinks.snapshots(df, str(tmp_path / "snap"))
+    sinks.snapshots(df, str(tmp_path / "snap"))
+    assert spark.read.json(str(tmp_path / "snap")).count() == 4
+    assert not (tmp_path / "dry").exists() and sinks.parquet(df, str(tmp_path / "dry"), ["id"], write=False).columns == ["id"] and not (tmp_path / "dry").exists()
+    assert sinks.markdown(df.select("id").orderBy("id")).splitlines() == ["| id |", "|---|", "| 1 |", "| 2 |"]
+
+
+def test_quantiles_of_many_and_few(spark):
+    import numpy as np
+
+    from vacatia.operators import stats
+
+    rng = np.random.default_rng(4)
+    for v in ([], [3.0], [1.0, 1.0, 1.0], rng.normal(size=20_000).tolist(), [0.0] * 9000 + [1e9], rng.lognormal(5, 3, 30_000).tolist()):
+        df = spark.createDataFrame([(float(x),) for x in v] + [(None,)], "v double")
+        got = stats.exact_quantiles(df, "v", (0.0, 0.01, 0.5, 0.99, 1.0))
+        assert got == [None] * 5 if not v else np.allclose(got, np.quantile(v, [0, 0.01, 0.5, 0.99, 1]))

@@ -149,3 +149,28 @@ def route(now: Column, backlog: Column, last_end: Column) -> Column:
 
 def page_count(last_page: Column, total: Column, size: Column) -> Column:
     return F.greatest(F.coalesce(last_page, F.lit(0)), F.ceil(total / size).cast("bigint"))
+
+
+def next_slot(local: Column, weekday: tuple[int, ...], weekend: tuple[int, ...]) -> Column:
+    """The first slot hour after a local time, over the next eight days."""
+    days = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda n: F.date_add(F.to_date(local), n))
+    hours = lambda d: F.when(F.dayofweek(d).isin(1, 7), F.array(*map(F.lit, weekend))).otherwise(F.array(*map(F.lit, weekday)))
+    slots = F.flatten(F.transform(days, lambda d: F.transform(hours(d), lambda h: d.cast("timestamp") + F.make_dt_interval(hours=h))))
+    return F.array_min(F.filter(slots, lambda t: t > local))
+
+
+def run_label(state: Column) -> Column:
+    """A scheduler's state as a label."""
+    return F.when(state == "success", "SUCCESS").when(state.isin("failed", "upstream_failed"), "FAILED").when(state.isin("running", "queued"), "RUNNING").otherwise("SCHEDULED")
+
+
+def transition(status: Column, event: Column) -> Column:
+    """A ledger record's next status: done, failed, closed and rediscovered; what is closed stays so but for a rediscovery."""
+    return F.when((status == "CLOSED") & (event == "rediscovered"), "PENDING").when(status == "CLOSED", "CLOSED").when(event == "closed", "CLOSED").when(event == "done", "DONE").when(event == "failed", "FAILED").otherwise(status)
+
+
+def intro(lines: Column, headings: str, used: Column) -> Column:
+    """Lines before the first heading that are no metadata and not used elsewhere."""
+    at = F.array_position(F.transform(lines, lambda x: x.rlike(headings)), True)
+    before = F.when(at > 0, F.slice(lines, 1, (at - 1).cast("int"))).otherwise(lines)
+    return F.array_except(F.filter(before, lambda x: ~x.rlike(r"(?iu)^(?:lương|địa điểm|hạn nộp|salary|location|deadline)\s*:")), used)

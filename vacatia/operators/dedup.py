@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 
 import numpy as np
@@ -145,7 +144,7 @@ def golden(df: DataFrame, group: str, id_: str) -> DataFrame:
     The best member leads; skills and benefits are united, a missing salary is taken from the best member that has one."""
     score = 50 * (F.coalesce(F.col("salary_max_vnd"), F.lit(0.0)) > 0).cast("double") + 30 * (F.coalesce(F.col("salary_min_vnd"), F.lit(0.0)) > 0).cast("double")
     score = score + F.least(F.length(F.coalesce("description", F.lit(""))) / 50, F.lit(40.0)) + F.least(5 * F.greatest(F.size(F.coalesce("skills", F.array().cast("array<string>"))), F.lit(0)), F.lit(30))
-    row = F.struct((-score).alias("rank"), F.col(id_).alias("id"), "salary_min_vnd", "salary_max_vnd", "salary_source", "skills", "benefits", "source_platform", F.lit(id_).alias("_"))
+    row = F.struct((-score).alias("rank"), F.col(id_).alias("id"), "salary_min_vnd", "salary_max_vnd", "salary_source", "skills", "benefits", "source_platform")
     g = df.groupBy(group).agg(F.array_sort(F.collect_list(row)).alias("m"))
     none = F.array().cast("array<string>")
     unite = lambda field: F.aggregate("m", none, lambda acc, x: merge_ci(acc, x[field]))
@@ -157,7 +156,3 @@ def golden(df: DataFrame, group: str, id_: str) -> DataFrame:
         F.when(~own, paid["source_platform"]).alias("salary_source_fused"), unite("skills").alias("skills"), unite("benefits").alias("benefits"), F.size("m").cast("bigint").alias("duplicates"),
         F.transform("m", lambda x: x["id"]).alias("ids"), F.array_distinct(F.transform("m", lambda x: x["source_platform"])).alias("platforms"),
     )
-
-
-def reduction(before: int, after: int) -> float:
-    return round(100 * (before - after) / max(before, 1), 2) if not math.isnan(before) else 0.0

@@ -145,3 +145,33 @@ def experience_bands(spark: SparkSession, d: str) -> DataFrame:
     years = experience(F.concat(F.col("p_size").cast("string"), F.lit(" năm")))["low"]
     band = F.when(years <= 0, "0").when(years <= 2, "1-2").when(years <= 5, "3-5").otherwise(">5")
     return table(spark, d, "part").groupBy(band.alias("band")).agg(F.count("*").alias("n"))
+
+
+@Q("""with e as (select event_id, ts + interval 7 hour as vn from events), d as (select event_id, vn, unnest(generate_series(0, 7)) as n from e),
+    h as (select event_id, vn, vn::date + n::int as day, unnest(case when isodow(vn::date + n::int) >= 6 then [9, 14, 18, 21, 22] else [20, 22] end) as hour from d)
+    select event_id, min(day::timestamp + to_hours(hour)) as slot from h where day::timestamp + to_hours(hour) > vn group by event_id""")
+def next_slots(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").select("event_id", F.from_utc_timestamp(F.col("ts").cast("timestamp"), "Asia/Ho_Chi_Minh").alias("vn"))
+    return e.select("event_id", C.next_slot(F.col("vn"), (20, 22), (9, 14, 18, 21, 22)).cast("timestamp_ntz").alias("slot"))
+
+
+@Q("""select user_id, event_id, case when prev = 'CLOSED' then case when ev = 'rediscovered' then 'PENDING' else 'CLOSED' end when ev = 'closed' then 'CLOSED' when ev = 'done' then 'DONE' when ev = 'failed' then 'FAILED' else prev end as status
+    from (select user_id, event_id, case event_id % 3 when 0 then 'CLOSED' when 1 then 'PENDING' else 'DONE' end as prev, case event_type when 'purchase' then 'done' when 'error' then 'failed' when 'signup' then 'rediscovered' when 'view' then 'closed' else 'seen' end as ev from events)""")
+def status_transitions(spark: SparkSession, d: str) -> DataFrame:
+    e, r = F.col("event_type"), F.col("event_id") % 3
+    event = F.when(e == "purchase", "done").when(e == "error", "failed").when(e == "signup", "rediscovered").when(e == "view", "closed").otherwise("seen")
+    before = F.when(r == 0, "CLOSED").when(r == 1, "PENDING").otherwise("DONE")
+    return table(spark, d, "events").select("user_id", "event_id", C.transition(before, event).alias("status"))
+
+
+@Q("""select label, count(*) as n from (select case o_orderstatus when 'F' then 'SUCCESS' when 'O' then 'RUNNING' else 'SCHEDULED' end as label from orders) group by label""")
+def run_labels(spark: SparkSession, d: str) -> DataFrame:
+    state = F.when(F.col("o_orderstatus") == "F", "success").when(F.col("o_orderstatus") == "O", "queued").otherwise("none")
+    return table(spark, d, "orders").groupBy(C.run_label(state).alias("label")).agg(F.count("*").alias("n"))
+
+
+@Q("""select p_partkey, 'About ' || p_name as intro from part""")
+def intro_lines(spark: SparkSession, d: str) -> DataFrame:
+    lines = F.array(F.concat(F.lit("About "), "p_name"), F.lit("Lương: 10"), F.col("p_brand"), F.lit("Mô tả công việc"), F.lit("x"))
+    out = C.intro(lines, "(?iu)^mô tả", F.array("p_brand"))
+    return table(spark, d, "part").select("p_partkey", F.array_join(out, "|").alias("intro"))

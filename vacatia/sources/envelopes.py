@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Folders beside the raw files that hold other things.
@@ -61,3 +62,34 @@ def postings(pages: DataFrame, key: str, html: str) -> DataFrame:
     v = v.withColumn("list", F.expr("coalesce(try_variant_get(v, '$.@graph', 'array<variant>'), try_variant_get(v, '$', 'array<variant>'), array(v))"))
     each = v.select(key, F.explode("list").alias("posting"))
     return each.filter(F.expr("try_variant_get(posting, '$.@type', 'string') = 'JobPosting'"))
+
+
+def load_any(spark: SparkSession, path: str, most: int | None = None) -> DataFrame:
+    """(file, item, id, payload): postings of files that hold a list, {"jobs": []}, {"records": []} or one object.
+
+    The id is the first of metadata.job_id, id, jobId, job_id; of rows with one id the first (by file and place) stays, rows
+    without an id all stay. most takes a preview of that many files."""
+    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(path)
+    v = files.select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("v")).filter("v is not null and not file rlike 'url_ledger|manifest|session'")
+    if most is not None:
+        v = v.orderBy("file").limit(most)
+    lists = "coalesce(try_variant_get(v, '$', 'array<variant>'), try_variant_get(v, '$.jobs', 'array<variant>'), try_variant_get(v, '$.records', 'array<variant>'), array(v))"
+    each = v.select("file", F.posexplode(F.expr(lists)).alias("item", "x"))
+    get = lambda p, kind="string": f"try_variant_get(x, '$.{p}', '{kind}')"
+    payload = f"coalesce({get('raw_payload', 'variant')}, {get('raw', 'variant')}, {get('listing_response', 'variant')}, x)"
+    each = each.withColumn("payload", F.expr(payload)).withColumn("meta_id", F.expr(f"coalesce({get('metadata.job_id')}, {get('_meta.job_id')})"))
+    inner = ", ".join(f"try_variant_get(payload, '$.{k}', 'string')" for k in ("id", "jobId", "job_id"))
+    rows = each.withColumn("id", F.expr(f"nullif(coalesce(meta_id, {inner}), '')")).drop("x", "meta_id")
+    n = F.row_number().over(W.partitionBy("id").orderBy("file", "item"))
+    return rows.filter("id is null").unionByName(rows.filter("id is not null").withColumn("_n", n).filter("_n = 1").drop("_n"))
+
+
+def read_jdbc(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
+    """A database query's rows."""
+    return spark.read.format("jdbc").options(url=url, query=query, **options).load()
+
+
+def valid_shape() -> Column:
+    """Whether an envelope can be a posting: a source, an id, and a title or name in its payload."""
+    have = lambda *paths: "coalesce(" + ", ".join(f"nullif(trim(try_variant_get(envelope, '$.{p}', 'string')), '')" for p in paths) + ") is not null"
+    return F.expr(" and ".join((have("metadata.source", "_meta.source"), have("metadata.job_id", "_meta.job_id"), have("raw_payload.title", "raw_payload.jobTitle", "raw_payload['job-title']", "raw.title", "raw.jobTitle"))))
