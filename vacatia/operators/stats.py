@@ -57,9 +57,11 @@ def exact_quantiles(df: DataFrame, column: str | Column, at: tuple[float, ...])
                     below += row["n"]
     value = {r: w[0] for r, w in within.items() if w[0] == w[1]}
     left = {r: w for r, w in within.items() if r not in value}
-    for w in set(left.values()):
-        held = sorted(x["v"] for x in v.filter((F.col("v") >= w[0]) & (F.col("v") <= w[1])).collect())
-        value |= {r: held[r - w[2]] for r, x in left.items() if x == w}
+    if left:  # one scan for all ranges
+        inside = reduce(lambda x, y: x | y, [F.col("v").between(w[0], w[1]) for w in set(left.values())])
+        held = sorted(x["v"] for x in v.filter(inside).collect())
+        for r, w in left.items():
+            value[r] = [x for x in held if w[0] <= x <= w[1]][r - w[2]]
     return [value[int(h)] + (value[min(int(h) + 1, n - 1)] - value[int(h)]) * (h - int(h)) for h in spots]
 
 
