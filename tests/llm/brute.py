@@ -81,3 +81,39 @@ def tiling(doc, item, k):
             if all(free_d[d : d + best]) and all(free_p[p : p + best]):
                 free_d[d : d + best] = free_p[p : p + best] = [False] * best
                 covered += best
+
+
+def nearest(examples, asked, k):
+    """[(id, text, label)], [(id, text)] -> {asked id: [(example id, cosine)]} by TF-IDF over words and their first 5 and 7 bytes.
+
+    idf from asked, times 1 + sqrt(G) for terms that lean to label 1, each distinct text once.
+    """
+
+    def terms(t):
+        return Counter(x for w in words(t) for x in [w, *((n, w.encode()[:n]) for n in (5, 7) if len(w.encode()) >= n)])
+
+    every = {i: terms(t) for i, t in asked}
+    df = Counter(x for c in every.values() for x in c)
+    once = {(t, y) for _, t, y in examples}
+    n = [sum(y == label for _, y in once) for label in (0, 1)]
+    held = [Counter(x for t, y in once if y == label for x in terms(t)) for label in (0, 1)]
+
+    def telling(x):
+        cells = [(held[y][x], n[y], sum(h[x] for h in held)) for y in (0, 1)]
+        if cells[1][0] * n[0] <= cells[0][0] * n[1]:
+            return 1.0
+        pairs = [(seen, size * both / sum(n)) for a, size, all_ in cells for seen, both in ((a, all_), (size - a, sum(n) - all_))]
+        return 1 + math.sqrt(max(0, 2 * sum(a * math.log(a / e) for a, e in pairs if a)))
+
+    def vector(c):
+        v = {x: (1 + math.log(k)) * (math.log((1 + len(asked)) / (1 + df[x])) + 1) * telling(x) for x, k in c.items() if held[0][x] + held[1][x]}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {x: w / size for x, w in v.items()}
+
+    of = sorted((i, vector(terms(t))) for i, t, _ in examples)
+    out = {}
+    for i, c in every.items():
+        v = vector(c)
+        cosines = [(e, round(sum(w * x.get(t, 0) for t, w in v.items()), 8)) for e, x in of]
+        out[i] = sorted(cosines, key=lambda r: (-r[1], r[0]))[:k] if v else []
+    return out

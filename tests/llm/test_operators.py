@@ -268,6 +268,22 @@ def test_toxicity_odd(spark, odd, none):
     assert toxicity.fit(none, labels) is None and toxicity.score(odd, None).count() == len(ODD) and toxicity.score(none, ix).count() == 0
 
 
+def test_toxicity_of_rare_words(spark):
+    """Words of 3 toxic examples, and more than 256 words of repeated ones: all count, as in plain TF-IDF."""
+    rows = [(i, f"plain words of clean text number{i} about topic{i % 7}", 0) for i in range(60)]
+    rows += [(100 + i, " ".join(f"loud{j}" for j in range(300)) + f" copy{i}", 1) for i in range(12)]
+    rows += [(200 + i, f"plain words zorg zorgwort{i} about topic{i}", 1) for i in range(3)]
+    asked = [(300, "plain zorg text"), (301, "loud7 loud8 topic1"), (302, "unheard")]
+    df = spark.createDataFrame([r[:2] for r in rows] + asked, DOC)
+    ix = toxicity.fit(df, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    got = {r["doc_id"]: r for r in toxicity.score(df, ix).collect()}
+    want = brute.nearest(rows, [r[:2] for r in rows] + asked, 3)
+    for i, near in want.items():
+        assert [(int(e.split(":")[0]), float(e.split(":")[1])) for e in got[i]["evidence"].split(",") if e] == [(e, round(c, 4)) for e, c in near]
+    assert got[300]["evidence"].startswith("20") and got[300]["score"] > got[0]["score"]
+
+
+
 # op9
 
 

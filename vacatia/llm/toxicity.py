@@ -1,13 +1,16 @@
-"""Toxicity by the nearest labelled examples under exact TF-IDF cosine.
+"""Toxicity by the nearest labelled examples under exact TF-IDF cosine, where telling terms weigh more.
 
-Terms are words and their first 5 and 7 bytes. The vocabulary is what sets labelled examples apart (likelihood ratio of
-document frequencies) plus the most frequent terms, so that a vector also shows how much of a text is ordinary. Examples
-are a sample of labelled rows of at most MOST_EXAMPLES (a parameter); document frequencies come from all documents.
+Terms are words and their first 5 and 7 bytes. The vocabulary is every term of the examples; terms that no example holds
+are not part of a text's vector. Examples are a sample of labelled rows of at most MOST_EXAMPLES (a parameter); document
+frequencies come from all documents. A term's weight is its idf, times 1 + sqrt(G) where the term leans to positive examples:
+G is the likelihood ratio statistic of its frequencies in positive and other examples, each distinct text counted once.
 
-The examples' vectors form a block-max inverted index: blocks of examples that lie together, each with the weights of
-the terms that it holds and the largest weight of each term. A text's bound for a block is the sum of its weights times
-the block's maxima; a block is scored only if its bound reaches the text's k-th best cosine so far, so the k nearest are
-exact. Votes are weighted by distance and calibrated by isotonic regression on leave-one-out votes of the examples.
+The examples' vectors form a block-max inverted index. Short posting lists are walked for every text. Long lists, of terms
+in more than one example of LONG, are kept by blocks of examples that lie together, each with the weights of the long terms
+that it holds and the largest weight of each. A text's bound for a block is the largest sum of its short lists there plus
+its weights times the block's maxima; a block is scored only if its bound reaches the text's k-th best cosine so far, so the
+k nearest are exact. Votes are weighted by distance and calibrated by isotonic regression on leave-one-out votes of the
+examples (without the terms that only the example left out holds).
 
 Cases: null and empty texts, and others without a known term, get the share of positive labels; a null id is scored (and
 counts as held out); of rows that repeat an id, examples take the smallest text, and of its labels the largest; without
@@ -30,11 +33,9 @@ from vacatia.llm.common import NON_WORD, Words, distinct_per_row, materialize, s
 PREFIXES = (5, 7)
 #: Bound of the sample of labelled rows, by the order of a hash of their ids.
 MOST_EXAMPLES = 8192
-TELLING, FREQUENT = 256, 64
-#: Least likelihood ratio statistic of a telling term.
-LEAST_G = 15.0
 NEIGHBOURS = 25
-BLOCK = 64
+BLOCK, LONG = 64, 8
+BUCKET_BITS = 20
 THRESHOLD = 0.3
 
 
@@ -56,49 +57,93 @@ def _lowered(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return text_buffers(pc.utf8_lower(col))
 
 
-def _known(rows: np.ndarray, h: np.ndarray, vocabulary: np.ndarray, filter_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _known(rows: np.ndarray, h: np.ndarray, vocabulary: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows and places in the (sorted) vocabulary of the occurrences of its terms."""
-    maybe = filter_[(h & np.uint64(0xFFFF)).astype(np.int64)]
-    rows, h = rows[maybe], h[maybe]
-    at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
-    hit = vocabulary[at] == h
-    return rows[hit], at[hit]
-
-
-def _filter(vocabulary: np.ndarray) -> np.ndarray:
-    out = np.zeros(1 << 16, bool)
-    out[(vocabulary & np.uint64(0xFFFF)).astype(np.int64)] = True
-    return out
+    bucket = (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    at, end = buckets[bucket], buckets[bucket + 1]
+    place = np.full(len(h), -1, np.int32)
+    left = np.flatnonzero(at < end)
+    while len(left):
+        same = vocabulary[at[left]] == h[left]
+        place[left[same]] = at[left[same]]
+        left = left[~same]
+        at[left] += 1
+        left = left[at[left] < end[left]]
+    hit = place >= 0
+    return rows[hit], place[hit].astype(np.int64)
+
+
+def _buckets(vocabulary: np.ndarray) -> np.ndarray:
+    """Where the terms of each value of the first BUCKET_BITS bits begin."""
+    size = np.bincount((vocabulary >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=1 << BUCKET_BITS)
+    return np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
 
 
 @dataclass
 class Index:
-    """Blocks: (terms, terms x examples weights, examples). maxima: blocks x vocabulary."""
+    """Blocks: (columns, columns x examples weights, examples). maxima: blocks x columns. A column is a long list.
+
+    column: of every term, -1 for a short list. first: of every term, where its postings in place and weight begin; place
+    counts the examples in the order of the blocks.
+    """
 
     vocabulary: np.ndarray
-    idf: np.ndarray
-    filter: np.ndarray
+    idf: np.ndarray  # with the factor of telling terms
+    buckets: np.ndarray
     blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
     maxima: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
     steps: tuple[np.ndarray, np.ndarray]
     prior: float
-
-    def nearest(self, q: np.ndarray, k: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Examples and cosines of the k nearest to each row of q, ties by the smaller id; own: an example that is left out."""
+    column: np.ndarray | None = None
+    first: np.ndarray | None = None
+    place: np.ndarray | None = None
+    weight: np.ndarray | None = None
+
+    def nearest_to(self, v: Vectors, a: int, z: int, k: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """nearest() for the rows a to z of v."""
+        q, walked = np.zeros((z - a, self.maxima.shape[1])), np.zeros((z - a, len(self.ids)))
+        for i in range(a, z):
+            t, w = v.term[v.first[i] : v.first[i + 1]], v.weight[v.first[i] : v.first[i + 1]]
+            c = self.column[t]
+            q[i - a, c[c >= 0]] = w[c >= 0]
+            t, w = t[c < 0], w[c < 0]
+            if len(t):
+                begin, end = self.first[t], self.first[t + 1]
+                lists = [slice(x, y) for x, y in zip(begin.tolist(), end.tolist(), strict=True)]
+                add = np.concatenate([self.weight[x] for x in lists])
+                add *= np.repeat(w, end - begin)
+                walked[i - a] = np.bincount(np.concatenate([self.place[x] for x in lists]), weights=add, minlength=len(self.ids))
+        return self.nearest(q, k, own, walked)
+
+    def nearest(self, q: np.ndarray, k: int, own: np.ndarray | None = None, walked: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Examples and cosines of the k nearest to each row of q, ties by the smaller id; own: an example that is left out.
+
+        q: weights by column. walked: what the short lists add, by place.
+        """
         n, k = len(q), min(k, len(self.ids))
         best = np.full((n, k), -1.0)  # cosine rounded, less a share of the example's rank, so that no two are equal
         who = np.zeros((n, k), np.int64)
+        start = np.cumsum([0, *(len(examples) for _, _, examples in self.blocks)])
         bound = q @ self.maxima.T
+        if walked is not None:
+            bound += np.maximum.reduceat(walked, start[:-1], axis=1)
         for b in np.argsort(-bound.max(axis=0, initial=0), kind="stable"):
             some = np.flatnonzero(bound[:, b] + 2e-8 >= best.min(axis=1))
             if not len(some):
                 continue
             terms, weights, examples = self.blocks[b]
-            s = np.round(q[some][:, terms] @ weights, 8) - examples * 1e-13
+            s = q[some][:, terms] @ weights
+            if walked is not None:
+                s += walked[some, start[b] : start[b + 1]]
+            s = np.round(s, 8) - examples * 1e-13
             if own is not None:
                 s[own[some][:, None] == examples[None, :]] = -2.0
+            gains = (s > best[some].min(axis=1, keepdims=True)).any(axis=1)
+            some, s = some[gains], s[gains]
+            if not len(some):
+                continue
             s = np.concatenate([best[some], s], axis=1)
             w = np.concatenate([who[some], np.broadcast_to(examples, (len(some), len(examples)))], axis=1)
             top = np.argpartition(-s, k - 1, axis=1)[:, :k]
@@ -114,12 +159,38 @@ class Index:
         return np.clip(0.98 * np.interp(votes, *self.steps) + 0.02 * votes, 0, 1)  # the vote itself orders what is level
 
 
-def vectors(rows: np.ndarray, at: np.ndarray, n_rows: int, idf: np.ndarray) -> np.ndarray:
-    """Unit vectors (1 + ln tf) * idf; zero for rows without a known term."""
-    v = len(idf)
-    tf = np.bincount(rows * v + at, minlength=n_rows * v).reshape(n_rows, v).astype(float)
-    x = np.where(tf > 0, 1 + np.log(np.maximum(tf, 1)), 0) * idf
-    return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-12)
+def counted(rows: np.ndarray, at: np.ndarray, n_terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (row, term) with their counts."""
+    key = np.sort(rows * n_terms + at)
+    new = np.flatnonzero(np.diff(key, prepend=-1))
+    return *np.divmod(key[new], n_terms), np.diff(new, append=len(key))
+
+
+@dataclass
+class Vectors:
+    """Sparse rows: offsets of each row, terms (places in the vocabulary) and weights."""
+
+    first: np.ndarray
+    term: np.ndarray
+    weight: np.ndarray
+
+
+def vectors(row: np.ndarray, term: np.ndarray, weight: np.ndarray, n_rows: int) -> Vectors:
+    """Unit vectors, from entries in the order of the rows; rows without a known term stay empty."""
+    norm = np.sqrt(np.bincount(row, weights=weight * weight, minlength=n_rows))
+    return Vectors(np.searchsorted(row, np.arange(n_rows + 1)), term, weight / norm[row])
+
+
+def telling(row: np.ndarray, term: np.ndarray, n_terms: int, y: np.ndarray, once: np.ndarray) -> np.ndarray:
+    """1 + sqrt(G) of every term that leans to positive examples, else 1. once: the examples that count."""
+    counts = np.isin(row, once)
+    row, term, y1 = row[counts], term[counts], y[once]
+    n, a = np.bincount(term, minlength=n_terms).astype(float), np.bincount(term, weights=y[row], minlength=n_terms)
+    p, q = y1.sum(), len(y1) - y1.sum()
+    part = lambda x, e: x * np.log(np.where(x > 0, x, 1) / np.where(x > 0, e, 1))
+    e = n * (p / (p + q))
+    g = 2 * (part(a, e) + part(n - a, n - e) + part(p - a, p - e) + part(q - (n - a), q - (n - e)))
+    return np.where(a * q > (n - a) * p, 1 + np.sqrt(np.maximum(g, 0)), 1.0)
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -148,80 +219,84 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     sample = usable.orderBy(F.xxhash64(F.col(key), F.lit(8)), key).limit(most)
     # bounded: at most `most` rows of an id and a label
     examples = docs.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key).groupBy(key, "label").agg(F.min("text").alias("text"))
-    examples = materialize(examples, "examples")
+    examples = materialize(examples.withColumn("digest", F.xxhash64("text")), "examples")
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            y = np.asarray(b.column("label").to_numpy(zero_copy_only=False))
             data, off = _lowered(b.column("text"))
             for i, j in slices(off):
-                h, _, at = distinct_per_row(*_terms(data, off[i : j + 1]))
-                of = np.repeat(y[i:j], np.diff(at))
-                terms, inverse = np.unique(h, return_inverse=True)
-                pos = np.bincount(inverse, weights=of, minlength=len(terms)).astype(np.int64)
-                n = np.bincount(inverse, minlength=len(terms))
-                yield pa.RecordBatch.from_arrays([pa.array(terms.view(np.int64)), pa.array(pos), pa.array(n)], ["term", "pos", "n"])
-
-    total, positive = examples.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
-    if not total:
+                h, tf, at = distinct_per_row(*_terms(data, off[i : j + 1]))
+                lists = [pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(x)) for x in (h.view(np.int64), tf.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in (key, "label", "digest")), *lists], [key, "label", "digest", "terms", "tf"])
+
+    kind = dict(examples.dtypes)[key]
+    rows = examples.orderBy(key).mapInArrow(terms_of, f"`{key}` {kind}, label int, digest long, terms array<long>, tf array<int>").toArrow()
+    if not len(rows):
         return None
-    per_term = materialize(examples.mapInArrow(counted, "term long, pos long, n long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")), "terms")
-    part = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
-    p, q, a, n = F.lit(float(positive)), F.lit(float(total - positive)), F.col("pos").cast("double"), F.col("n").cast("double")
-    share = p / (p + q)
-    g = 2 * (part(a, n * share) + part(n - a, n * (1 - share)) + part(p - a, p - n * share) + part(q - (n - a), q - n * (1 - share)))
-    telling = per_term.filter(a * q > (n - a) * p).select("term", g.alias("g")).filter(F.col("g") > LEAST_G).orderBy(F.desc("g"), "term").limit(TELLING)
-    frequent = per_term.orderBy(F.desc("n"), "term").limit(FREQUENT)
-    vocabulary = np.unique(np.array([r[0] for r in telling.select("term").union(frequent.select("term")).collect()], np.int64).view(np.uint64))
-    known = _filter(vocabulary)
+    ids, y = np.array(rows.column(key).to_pylist()), np.array(rows.column("label").to_pylist(), float)
+    hashes, tf = np.asarray(pc.list_flatten(rows.column("terms"))), np.asarray(pc.list_flatten(rows.column("tf")))
+    row = np.repeat(np.arange(len(ids), dtype=np.int32), np.asarray(pc.list_value_length(rows.column("terms"))))
+    # each distinct text once, so that copies make no word telling
+    once = np.unique(np.stack([np.asarray(rows.column("digest")), y.astype(np.int64)]), axis=1, return_index=True)[1]
+    del rows
+    vocabulary = np.sort(hashes.view(np.uint64))
+    vocabulary = vocabulary[np.diff(vocabulary, prepend=~vocabulary[:1]) != 0]
     if not len(vocabulary):
         return None
+    term = np.searchsorted(vocabulary, hashes.view(np.uint64)).astype(np.int32)
+    del hashes
+    pa.default_memory_pool().release_unused()
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, df = 0, np.zeros(len(vocabulary), np.int64)
+        n, df, known = 0, np.zeros(len(vocabulary), np.int64), _buckets(vocabulary)
         for b in batches:
             n += b.num_rows
             data, off = _lowered(b.column("text"))
             for i, j in slices(off):
                 rows, h, _ = _terms(data, off[i : j + 1])
-                rows, at = _known(rows, h, vocabulary, known)
-                df += np.bincount(np.unique(rows * len(vocabulary) + at) % len(vocabulary), minlength=len(vocabulary))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(vocabulary))), pa.array(np.concatenate([[n], df]))], ["at", "n"])
+                _, at, _ = counted(*_known(rows, h, vocabulary, known), len(vocabulary))
+                df += np.bincount(at, minlength=len(vocabulary))
+        held = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], held])), pa.array(np.concatenate([[n], df[held]]))], ["at", "n"])
 
+    of = docs.select(F.col(text).alias("text")).mapInArrow(frequencies, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(len(vocabulary) + 1)
-    for r in docs.select(F.col(text).alias("text")).mapInArrow(frequencies, "at long, n long").groupBy("at").agg(F.sum("n")).collect():
-        df[r[0] + 1] = r[1]
+    df[np.asarray(of.column("at")) + 1] = np.asarray(of.column("n"))
     idf = np.log((1 + df[0]) / (1 + df[1:])) + 1
 
-    def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            data, off = _lowered(b.column("text"))
-            for i, j in slices(off):
-                rows, h, n = _terms(data, off[i : j + 1])
-                rows, at = _known(rows, h, vocabulary, known)
-                x = vectors(rows, at, n, idf)
-                found = [(np.flatnonzero(v), v[v > 0]) for v in x]
-                yield pa.RecordBatch.from_arrays([b.column(key).slice(i, j - i), b.column("label").slice(i, j - i), pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.float64()))], [key, "label", "at", "weight"])
-
-    kind = dict(examples.dtypes)[key]
-    rows = sorted(examples.select(key, "label", "text").mapInArrow(sparse, f"`{key}` {kind}, label int, at array<long>, weight array<double>").collect(), key=lambda r: r[0])
-    x = np.zeros((len(rows), len(vocabulary)))
-    for i, r in enumerate(rows):
-        x[i, r["at"]] = r["weight"]
-    ids, y = np.array([r[0] for r in rows]), np.array([r["label"] for r in rows], float)
+    idf = idf * telling(row, term, len(vocabulary), y, once)
+
+    weight = (1 + np.log(tf)) * idf[term]
+    del tf
+    v = vectors(row, term, weight, len(ids))
+    held = np.bincount(term, minlength=len(vocabulary))
+    long = held * LONG > len(ids)
+    column = np.where(long, np.cumsum(long) - 1, -1)
+    dense = long[term]
+    x = np.zeros((len(ids), int(long.sum())))
+    x[row[dense], column[term[dense]]] = v.weight[dense]
     # examples with the same strongest terms lie together, so that a block's maxima are tight
     strongest = np.argsort(-x, axis=1, kind="stable")[:, :3]
-    order = np.lexsort((strongest[:, 2], strongest[:, 1], strongest[:, 0]))
+    order = np.lexsort((np.arange(len(ids)), *strongest.T[::-1]))
     blocks, maxima = [], []
     for i in range(0, len(order), BLOCK):
         e = order[i : i + BLOCK]
-        terms = np.flatnonzero(x[e].any(axis=0))
-        blocks.append((terms, np.ascontiguousarray(x[e][:, terms].T), e))
+        columns = np.flatnonzero(x[e].any(axis=0))
+        blocks.append((columns, np.ascontiguousarray(x[e][:, columns].T), e))
         maxima.append(x[e].max(axis=0))
-    out = Index(vocabulary, idf, known, blocks, np.array(maxima), ids, y, (np.array([0.0, 1.0]), np.array([0.0, 1.0])), float(y.mean()))
-    if len(rows) > 1:
-        votes = np.concatenate([out.vote(*out.nearest(x[i : i + 256], NEIGHBOURS, np.arange(i, min(i + 256, len(x))))) for i in range(0, len(x), 256)])
-        seen = x.any(axis=1)
+    place = np.empty(len(ids), np.int32)
+    place[order] = np.arange(len(ids))
+    by = np.flatnonzero(~dense)
+    by = by[np.argsort(term[by], kind="stable")].astype(np.int32)
+    first = np.concatenate([[0], np.cumsum(np.where(long, 0, held))])
+    out = Index(vocabulary, idf, _buckets(vocabulary), blocks, np.array(maxima), ids, y, (np.array([0.0, 1.0]), np.array([0.0, 1.0])), float(y.mean()), column, first, place[row[by]], v.weight[by])
+    del x, by, dense, v, strongest
+    if len(ids) > 1:
+        shared = held[term] > 1
+        v = vectors(row[shared], term[shared], weight[shared], len(ids))
+        del row, term, weight, shared
+        votes = np.concatenate([out.vote(*out.nearest_to(v, i, min(i + 64, len(ids)), NEIGHBOURS, np.arange(i, min(i + 64, len(ids))))) for i in range(0, len(ids), 64)])
+        seen = np.diff(v.first) > 0
         if seen.any():
             out.steps = isotonic(votes[seen], y[seen])
     return out
@@ -232,14 +307,15 @@ def _scored(index: Index, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, li
     data, off = _lowered(texts)
     for i, j in slices(off, 1 << 19):
         rows, h, n = _terms(data, off[i : j + 1])
-        rows, at = _known(rows, h, index.vocabulary, index.filter)
-        x = vectors(rows, at, n, index.idf)
-        seen = np.flatnonzero(x.any(axis=1))
+        row, term, tf = counted(*_known(rows, h, index.vocabulary, index.buckets), len(index.vocabulary))
+        v = vectors(row, term, (1 + np.log(tf)) * index.idf[term], n)
         scores = np.full(n, index.prior)
         evidence = [""] * n
-        for a in range(0, len(seen), 256):
-            part = seen[a : a + 256]
-            who, cosine = index.nearest(x[part], NEIGHBOURS)
+        for a in range(0, n, 256):
+            part = np.arange(a, min(a + 256, n))
+            who, cosine = index.nearest_to(v, a, part[-1] + 1, NEIGHBOURS)
+            seen = v.first[part + 1] > v.first[part]
+            part, who, cosine = part[seen], who[seen], cosine[seen]
             scores[part] = index.calibrated(index.vote(who, cosine))
             for r, w, c in zip(part, who[:, :3], cosine[:, :3], strict=True):
                 evidence[r] = ",".join(f"{index.ids[e]}:{max(s, 0):.4f}:{int(index.labels[e])}" for e, s in zip(w, c, strict=True))
@@ -252,7 +328,7 @@ def score(docs: DataFrame, index: Index | None, text: str = "text", key: str = "
     schema = f"`{key}` {kind}, score double, evidence string"
     if index is None:
         return docs.select(key, F.lit(0.0).alias("score"), F.lit("").alias("evidence"))
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by MOST_EXAMPLES and the vocabulary's size
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the terms of MOST_EXAMPLES texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
