@@ -61,6 +61,22 @@ def test_search_odd(spark, odd, none):
     assert search.search(none, none).count() == 0 and search.search(odd, none).count() == 0
 
 
+def test_search_with_a_hot_id(spark):
+    """An id of more than k rows, in one partition and over several shards, takes one place."""
+    rows = [(1, "alpha beta gamma " * 3)] * 40 + [(2 + i, f"alpha beta w{i} " + "pad " * i) for i in range(30)] + [(1, f"alpha gamma {i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, DOC).coalesce(1)
+    asked = spark.createDataFrame([(500, "alpha beta gamma w9 w20")], DOC)
+    got = [(r["doc_id"], r["score"]) for r in search.search(df, asked).orderBy("rank").collect()]
+    words = [t.split() for _, t in rows]
+    mean, best = sum(map(len, words)) / len(rows), {}
+    df_ = {w: sum(w in t for t in words) for w in ("alpha", "beta", "gamma", "w9", "w20")}
+    for (i, _), t in zip(rows, words, strict=True):
+        s = sum(np.log(1 + (len(rows) - n + 0.5) / (n + 0.5)) * t.count(w) * 2.2 / (t.count(w) + 1.2 * (0.25 + 0.75 * len(t) / mean)) for w, n in df_.items())
+        best[i] = max(round(s, 6), best.get(i, 0))
+    want = sorted(best.items(), key=lambda r: (-r[1], r[0]))[:10]
+    assert [i for i, _ in got] == [i for i, _ in want] and all(abs(a - b) < 3e-6 for (_, a), (_, b) in zip(got, want, strict=True))
+
+
 # op2
 
 
