@@ -77,6 +77,18 @@ def test_search_with_a_hot_id(spark):
     assert [i for i, _ in got] == [i for i, _ in want] and all(abs(a - b) < 3e-6 for (_, a), (_, b) in zip(got, want, strict=True))
 
 
+def test_search_slack_grows_with_the_query():
+    """One heavy term and many light ones: single precision loses far more than a small constant."""
+    n = 200_000
+    weight = np.full(n, 0.03)
+    weight[::1000] = 2.0**20
+    score = round(weight.sum(), 6)
+    q = search.Queries(np.array([1]), np.array([0, n]), np.arange(n, dtype=np.int32), np.arange(n, dtype=np.uint64), np.ones(n), 1.0, np.array([score - 0.001]))
+    best = search.Best(q.floor, 3)
+    search.search_shard(q, best, np.array([7]), np.zeros(n, np.int32), np.arange(n, dtype=np.int32), weight, np.array([1]))
+    assert best.doc[0, 0] == 7 and abs(best.score[0, 0] - score) < 1e-3
+
+
 # op2
 
 
