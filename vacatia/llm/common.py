@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one numpy pass handles; bounds a Python worker's memory (a longer document is a pass of its own).
@@ -16,21 +18,24 @@ _ASCII_SPACE = (9, 10, 11, 12, 13, 32)
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder shared by driver and executors, from spark.checkpoint.dir; a local one only where that is unset (tests)."""
+    """The folder shared by driver and executors, from spark.checkpoint.dir. Where that is unset, a local one for a local
+    session (tests), and an error on a cluster, whose executors would each write to their own disk."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = f"file:///tmp/checkpoints/vacatia-{spark.sparkContext.applicationId}"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage and survives lost executors."""
+def materialize(df: DataFrame, name: str, **options: object) -> DataFrame:
+    """Write df to the shared folder and read it back: cuts lineage and survives lost executors. options: of the writer."""
     spark = df.sparkSession
     path = f"{work_dir(spark)}/vacatia/{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -55,9 +60,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
 # --- tokenising -------------------------------------------------------------------------------------------------
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
-_P = np.uint64(0xD6E8FEB86659FD93)
-_PINV = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
-_BYTE = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Words up to so many bytes are hashed together, eight bytes at a time; longer ones one by one.
+_SHORT_WORD = 64
+_MASK = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -69,18 +74,6 @@ SPACE[list(_ASCII_SPACE)] = True
 NON_WORD = np.ones(256, bool)
 NON_WORD[48:58] = NON_WORD[65:91] = NON_WORD[97:123] = NON_WORD[128:] = False
 
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(kind: str, n: int) -> np.ndarray:
-    have = _powers.get(kind)
-    if have is None or len(have) < n:
-        out = np.full(max(n, SLICE_BYTES + 1), _P if kind == "p" else _PINV, np.uint64)
-        out[0] = 1
-        have = _powers[kind] = np.multiply.accumulate(out)
-    return have
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalise 64-bit values so that all bits depend on all others."""
     h = h ^ (h >> np.uint64(30))
@@ -91,6 +84,26 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes from start to end. Not linear in the bytes, so no words of a regular make collide.
+
+    Words of up to eight bytes and equal length never collide; others do by chance only, about n * n / 2 ** 65 of n words."""
+    size = end - start
+    eight = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(16, np.uint8)]), strides=(1,))
+    h = mix(size.astype(np.uint64) * _MUL)
+    h = mix(h ^ (eight[start] & _MASK[np.minimum(size, 8)]))
+    more = np.flatnonzero((size > 8) & (size <= _SHORT_WORD))
+    at = 8
+    while len(more):
+        left = np.minimum(size[more] - at, 8)
+        h[more] = mix(h[more] ^ (eight[start[more] + at] & _MASK[left]))
+        at += 8
+        more = more[size[more] > at]
+    for i in np.flatnonzero(size > _SHORT_WORD).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(data[start[i] : end[i]].tobytes(), 7)
+    return h
+
+
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and len + 1 offsets of a string array; nulls are empty."""
     col = col.cast(pa.large_string()) if not pa.types.is_large_string(col.type) else col
@@ -140,21 +153,7 @@ class Words:
         self.row = np.repeat(np.arange(self.n_rows), self.count)
 
     def hashes(self) -> np.ndarray:
-        n = len(self.data)
-        prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[self.data] * _power("p", n)[:n], out=prefix[1:])
-        h = (prefix[self.end] - prefix[self.start]) * _power("i", n + 1)[self.start]
-        return mix(h + (self.end - self.start).astype(np.uint64) * _MUL)
-
-
-def hash_words(words: list[str]) -> np.ndarray:
-    """The same hashes for single words (already lower case)."""
-    raw = [w.encode() for w in words]
-    if not raw:
-        return np.zeros(0, np.uint64)
-    off = np.cumsum([0, *map(len, raw)])
-    none = np.zeros(256, bool)
-    return Words(np.frombuffer(b"".join(raw), np.uint8), off, none, lower=False).hashes()
+        return hash_spans(self.data, self.start, self.end)
 
 
 def distinct_per_row(row: np.ndarray, h: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
