@@ -6,7 +6,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 import brute
-from vacatia.llm import chat, decontaminate, langid, mixing, neardup, registry, search, secrets, toxicity, urls, warc
+from vacatia.llm import blockmax, chat, decontaminate, langid, mixing, neardup, registry, search, secrets, toxicity, urls, warc
 
 DOC = "doc_id long, text string"
 ODD = [(1, None), (2, ""), (None, "alpha beta gamma delta epsilon"), (3, "  \n "), (4, "alpha beta gamma delta epsilon"), (4, "alpha beta gamma delta epsilon"), (5, "x " * 30_000), (6, "😀 é 日本"), (7, "one")]
@@ -46,8 +46,7 @@ def test_search_is_exact(spark, sf, docs):
 
 
 def test_search_in_many_blocks(spark, sf, docs, monkeypatch):
-    monkeypatch.setattr(search, "MOST_TERMS", 800)
-    monkeypatch.setattr(search, "BLOCKS_A_PASS", 2)
+    monkeypatch.setattr(search, "MOST_TERMS", 400)
     some = spark.read.parquet(f"{sf}/documents.parquet").filter("doc_id < 60")
     got = {(r["query_id"], r["rank"]): r["doc_id"] for r in search.search(some, some.filter("doc_id % 20 = 0"), 3).collect()}
     want = brute.bm25({i: r["text"] for i, r in docs.items() if i < 60}, [0, 20, 40], 3)
@@ -82,11 +81,40 @@ def test_search_slack_grows_with_the_query():
     n = 200_000
     weight = np.full(n, 0.03)
     weight[::1000] = 2.0**20
-    score = round(weight.sum(), 6)
-    q = search.Queries(np.array([1]), np.array([0, n]), np.arange(n, dtype=np.int32), np.arange(n, dtype=np.uint64), np.ones(n), 1.0, np.array([score - 0.001]))
-    best = search.Best(q.floor, 3)
-    search.search_shard(q, best, np.array([7]), np.zeros(n, np.int32), np.arange(n, dtype=np.int32), weight, np.array([1]))
-    assert best.doc[0, 0] == 7 and abs(best.score[0, 0] - score) < 1e-3
+    score = weight.sum()
+    lists = blockmax.Lists(1, np.arange(n + 1), np.zeros(n, np.int64), weight)
+    query, row, got = blockmax.best_rows(lists, np.array([0, n]), np.arange(n), None, np.array([score - 0.001]), np.array([False]), np.ones(1, bool), 3)
+    assert query.tolist() == row.tolist() == [0] and abs(got[0] - score) < 1e-3
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_best_rows_are_exact(weighted):
+    rng = np.random.default_rng(5)
+    n, terms, m, k = 700, 300, 90, 7
+    x = rng.random((terms, n)) * (rng.random((terms, n)) < rng.random(terms)[:, None] ** 4)
+    q = (rng.random((m, terms)) < 0.2) * (rng.random((m, terms)) if weighted else 1.0)
+    t, row = np.nonzero(x)
+    lists = blockmax.Lists(n, np.searchsorted(t, np.arange(terms + 1)), row, x[t, row])
+    of, term = np.nonzero(q)
+    single = rng.random(n) < 0.9
+    query, row, score = blockmax.best_rows(lists, np.searchsorted(of, np.arange(m + 1)), term, q[of, term] if weighted else None, np.full(m, 1e-6), np.ones(m, bool), single, k)
+    want = q @ x
+    assert np.allclose(score, want[query, row])
+    for i in range(m):
+        kept = set(row[query == i].tolist())
+        assert set(np.argsort(-want[i])[:k].tolist()) <= kept
+
+
+def test_search_index_of_long_texts(spark, monkeypatch):
+    """Shards are bounded in documents and in words; results don't depend on the bounds."""
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 5000 if i % 17 == 0 else 30) % 500)) for i in range(150)]
+    df = spark.createDataFrame(rows, DOC)
+    read = lambda: sorted(tuple(r) for r in search.search(df, df.filter("doc_id % 10 = 0"), 5).collect())
+    want = read()
+    monkeypatch.setattr(search, "SHARD", 16)
+    monkeypatch.setattr(search, "SHARD_WORDS", 700)
+    assert read() == want and len(want) == 75
 
 
 # op2
@@ -260,21 +288,17 @@ def test_audit(spark):
 # op8
 
 
-def test_nearest_is_exact():
-    rng = np.random.default_rng(5)
-    x = rng.random((300, 20)) * (rng.random((300, 20)) < 0.3)
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    order = rng.permutation(300)
-    blocks, maxima = [], []
-    for i in range(0, 300, 64):
-        e = order[i : i + 64]
-        terms = np.flatnonzero(x[e].any(axis=0))
-        blocks.append((terms, x[e][:, terms].T, e))
-        maxima.append(x[e].max(axis=0))
-    ix = toxicity.Index(np.zeros(0), np.ones(20), np.zeros(0), blocks, np.array(maxima), np.arange(300), np.zeros(300), (np.zeros(1), np.zeros(1)), 0.0)
-    who, cosine = ix.nearest(x[:50], 7)
-    s = np.round(x[:50] @ x.T, 8) - np.arange(300) * 1e-13
-    assert (who == np.argsort(-s, axis=1)[:, :7]).all() and np.allclose(cosine, -np.sort(-s, axis=1)[:, :7])
+def test_toxicity_same_as_brute_force(spark, sf, docs):
+    """The whole query: vectors, neighbours, votes, calibration."""
+    import zlib
+
+    got = {r["doc_id"]: r for r in toxicity.op8_toxicity(spark, sf).collect()}
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in docs}
+    want = brute.toxicity([(i, r["text"]) for i, r in docs.items()], [(i, docs[i]["text"], y) for i, y in labels.items() if y is not None and not held[i]])
+    assert {i: r["held_out"] for i, r in got.items()} == held
+    assert max(abs(got[i]["score"] - w) for i, w in want.items()) < 1e-6 and got.keys() == want.keys()
+    assert all(r["predicted"] == (r["score"] >= 0.3) for r in got.values())
 
 
 def test_toxicity_on_held_out_rows(spark):
