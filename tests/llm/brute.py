@@ -83,17 +83,18 @@ def tiling(doc, item, k):
                 covered += best
 
 
-def nearest(examples, asked, k):
+def nearest(examples, asked, k, docs=None, leave_out=False):
     """[(id, text, label)], [(id, text)] -> {asked id: [(example id, cosine)]} by TF-IDF over words and their first 5 and 7 bytes.
 
-    idf from asked, times 1 + sqrt(G) for terms that lean to label 1, each distinct text once.
+    idf from docs (else asked), times 1 + sqrt(G) for terms that lean to label 1, each distinct text once. Only positive cosines.
+    leave_out: asked are examples too; each without itself and without the terms that it alone holds.
     """
 
     def terms(t):
-        return Counter(x for w in words(t) for x in [w, *((n, w.encode()[:n]) for n in (5, 7) if len(w.encode()) >= n)])
+        return Counter(x for w in words(t) for x in [w, *((n, w.encode()[:n].decode(errors="ignore")) for n in (5, 7) if len(w.encode()) >= n)])
 
     every = {i: terms(t) for i, t in asked}
-    df = Counter(x for c in every.values() for x in c)
+    df, n_docs = Counter(x for _, t in docs or asked for x in terms(t)), len(docs or asked)
     once = {(t, y) for _, t, y in examples}
     n = [sum(y == label for _, y in once) for label in (0, 1)]
     held = [Counter(x for t, y in once if y == label for x in terms(t)) for label in (0, 1)]
@@ -105,15 +106,47 @@ def nearest(examples, asked, k):
         pairs = [(seen, size * both / sum(n)) for a, size, all_ in cells for seen, both in ((a, all_), (size - a, sum(n) - all_))]
         return 1 + math.sqrt(max(0, 2 * sum(a * math.log(a / e) for a, e in pairs if a)))
 
-    def vector(c):
-        v = {x: (1 + math.log(k)) * (math.log((1 + len(asked)) / (1 + df[x])) + 1) * telling(x) for x, k in c.items() if held[0][x] + held[1][x]}
+    holders = Counter(x for _, t, _ in examples for x in terms(t))
+
+    def vector(c, least=1):
+        v = {x: (1 + math.log(k)) * (math.log((1 + n_docs) / (1 + df[x])) + 1) * telling(x) for x, k in c.items() if holders[x] >= least}
         size = math.sqrt(sum(x * x for x in v.values()))
         return {x: w / size for x, w in v.items()}
 
     of = sorted((i, vector(terms(t))) for i, t, _ in examples)
     out = {}
     for i, c in every.items():
-        v = vector(c)
+        v = vector(c, 2 if leave_out else 1)
         cosines = [(e, round(sum(w * x.get(t, 0) for t, w in v.items()), 8)) for e, x in of]
-        out[i] = sorted(cosines, key=lambda r: (-r[1], r[0]))[:k] if v else []
+        out[i] = sorted((r for r in cosines if r[1] > 0 and not (leave_out and r[0] == i)), key=lambda r: (-r[1], r[0]))[:k]
     return out
+
+
+def toxicity(docs, examples, k=25):
+    """[(id, text)], [(id, text, label)] -> {id: score}: votes of the nearest, calibrated by isotonic regression (the max-min form)."""
+    label = {i: y for i, _, y in examples}
+
+    def vote(near):
+        w = [(1 / (1.02 - min(max(c, 0), 1)), label[e]) for e, c in near]
+        return sum(a * y for a, y in w) / sum(a for a, _ in w)
+
+    out = nearest(examples, [(i, t) for i, t, _ in examples], k, docs=docs, leave_out=True)
+    pairs = sorted(((vote(v), i, label[i]) for i, v in out.items() if v), key=lambda r: (r[0], r[1]))
+    x, y = [p[0] for p in pairs], [p[2] for p in pairs]
+    mean = lambda a, z: sum(y[a:z]) / (z - a)
+    level = [max(min(mean(a, z) for z in range(i + 1, len(y) + 1)) for a in range(i + 1)) for i in range(len(y))]
+    pools = [(g[0], g[-1] + 1) for _, g in ((v, [i for i, u in enumerate(level) if u == v]) for v in sorted(set(level)))]
+    xs = [sum(x[a:z]) / (z - a) for a, z in pools]
+    ys = [(sum(y[a:z]) + 0.5 * sum(y) / len(y)) / (z - a + 0.5) for a, z in pools]
+    for i in range(1, len(ys)):
+        ys[i] = max(ys[i], ys[i - 1])
+    xs, ys = [0.0, *xs, 1.0], [ys[0] * 0.5, *ys, max(ys[-1], 0.999)]
+
+    def calibrated(v):
+        if v >= xs[-1]:
+            return ys[-1]
+        i = max(j for j in range(len(xs) - 1) if xs[j] <= v)
+        return ys[i] + (ys[i + 1] - ys[i]) * (v - xs[i]) / (xs[i + 1] - xs[i]) if xs[i + 1] > xs[i] else ys[i + 1]
+
+    prior = sum(label.values()) / len(label)
+    return {i: min(max(0.98 * calibrated(vote(v)) + 0.02 * vote(v), 0), 1) if v else prior for i, v in nearest(examples, docs, k).items()}

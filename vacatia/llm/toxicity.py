@@ -1,20 +1,19 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine, where telling terms weigh more.
 
-Terms are words and their first 5 and 7 bytes. The vocabulary is every term of the examples; terms that no example holds
-are not part of a text's vector. Examples are a sample of labelled rows of at most MOST_EXAMPLES (a parameter); document
-frequencies come from all documents. A term's weight is its idf, times 1 + sqrt(G) where the term leans to positive examples:
-G is the likelihood ratio statistic of its frequencies in positive and other examples, each distinct text counted once.
-
-The examples' vectors form a block-max inverted index. Short posting lists are walked for every text. Long lists, of terms
-in more than one example of LONG, are kept by blocks of examples that lie together, each with the weights of the long terms
-that it holds and the largest weight of each. A text's bound for a block is the largest sum of its short lists there plus
-its weights times the block's maxima; a block is scored only if its bound reaches the text's k-th best cosine so far, so the
-k nearest are exact. Votes are weighted by distance and calibrated by isotonic regression on leave-one-out votes of the
-examples (without the terms that only the example left out holds).
-
-Cases: null and empty texts, and others without a known term, get the share of positive labels; a null id is scored (and
-counts as held out); of rows that repeat an id, examples take the smallest text, and of its labels the largest; without
-any usable label every score is 0; an empty table gives an empty result; extra columns are not read.
+Terms are words and their beginnings of 5 and 7 bytes (whole letters only). The vocabulary is every term of the examples;
+terms that no example holds are not part of a text's vector. Examples are a sample of labelled rows of at most MOST_EXAMPLES
+(a parameter); document frequencies come from all documents. A term's weight is its idf, times 1 + sqrt(G) where the term leans
+to positive examples: G is the likelihood ratio statistic of its frequencies in positive and other examples, each distinct
+text counted once.
+
+The examples' vectors form a block-max inverted index, which is searched for a group of texts at a time (blockmax.py), so
+the k nearest are exact. Only examples of a positive cosine are near. Votes are weighted by distance and calibrated by
+isotonic regression on leave-one-out votes of the examples (without the terms that only the example left out holds).
+
+Cases: null and empty texts, and others without a term of some example, get the share of positive labels; a null id is
+scored (and counts as held out); of rows that repeat an id, examples take the smallest text, and of its labels the largest;
+of equally near examples the smaller id counts; a very long text is a slice of its own; without any usable label every score
+is 0; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -28,13 +27,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacatia.llm.common import NON_WORD, Words, distinct_per_row, materialize, slices, table, text_buffers
+from vacatia.llm.blockmax import GROUP, Lists, best_rows, one_thread
+from vacatia.llm.common import NON_WORD, Words, discard, distinct_per_row, hash_spans, materialize, slices, table, text_buffers
 
 PREFIXES = (5, 7)
 #: Bound of the sample of labelled rows, by the order of a hash of their ids.
 MOST_EXAMPLES = 8192
 NEIGHBOURS = 25
-BLOCK, LONG = 64, 8
+#: A list of more than one example in DENSE may be dense (blockmax.py).
+DENSE = 16
 BUCKET_BITS = 20
 THRESHOLD = 0.3
 
@@ -45,11 +46,12 @@ def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     rows, hashes = [w.row], [w.hashes()]
     size = w.end - w.start
     for n in PREFIXES:
-        long = size >= n
-        part = Words.__new__(Words)
-        part.data, part.start, part.end = w.data, w.start[long], w.start[long] + n
-        rows.append(w.row[long])
-        hashes.append(part.hashes() ^ np.uint64(n))
+        long = np.flatnonzero(size > n)
+        end = w.start[long] + n
+        for _ in range(3):  # back to where a letter begins
+            end = end - ((w.data[end] & 0xC0) == 0x80)
+        rows += [w.row[size == n], w.row[long]]
+        hashes += [hashes[0][size == n] ^ np.uint64(n), hash_spans(w.data, w.start[long], end) ^ np.uint64(n)]
     return np.concatenate(rows), np.concatenate(hashes), w.n_rows
 
 
@@ -79,85 +81,64 @@ def _buckets(vocabulary: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
 
 
-@dataclass
 class Index:
-    """Blocks: (columns, columns x examples weights, examples). maxima: blocks x columns. A column is a long list.
-
-    column: of every term, -1 for a short list. first: of every term, where its postings in place and weight begin; place
-    counts the examples in the order of the blocks.
-    """
-
-    vocabulary: np.ndarray
-    idf: np.ndarray  # with the factor of telling terms
-    buckets: np.ndarray
-    blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
-    maxima: np.ndarray
-    ids: np.ndarray
-    labels: np.ndarray
-    steps: tuple[np.ndarray, np.ndarray]
-    prior: float
-    column: np.ndarray | None = None
-    first: np.ndarray | None = None
-    place: np.ndarray | None = None
-    weight: np.ndarray | None = None
-
-    def nearest_to(self, v: Vectors, a: int, z: int, k: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """nearest() for the rows a to z of v."""
-        q, walked = np.zeros((z - a, self.maxima.shape[1])), np.zeros((z - a, len(self.ids)))
-        for i in range(a, z):
-            t, w = v.term[v.first[i] : v.first[i + 1]], v.weight[v.first[i] : v.first[i + 1]]
-            c = self.column[t]
-            q[i - a, c[c >= 0]] = w[c >= 0]
-            t, w = t[c < 0], w[c < 0]
-            if len(t):
-                begin, end = self.first[t], self.first[t + 1]
-                lists = [slice(x, y) for x, y in zip(begin.tolist(), end.tolist(), strict=True)]
-                add = np.concatenate([self.weight[x] for x in lists])
-                add *= np.repeat(w, end - begin)
-                walked[i - a] = np.bincount(np.concatenate([self.place[x] for x in lists]), weights=add, minlength=len(self.ids))
-        return self.nearest(q, k, own, walked)
-
-    def nearest(self, q: np.ndarray, k: int, own: np.ndarray | None = None, walked: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Examples and cosines of the k nearest to each row of q, ties by the smaller id; own: an example that is left out.
-
-        q: weights by column. walked: what the short lists add, by place.
-        """
-        n, k = len(q), min(k, len(self.ids))
-        best = np.full((n, k), -1.0)  # cosine rounded, less a share of the example's rank, so that no two are equal
-        who = np.zeros((n, k), np.int64)
-        start = np.cumsum([0, *(len(examples) for _, _, examples in self.blocks)])
-        bound = q @ self.maxima.T
-        if walked is not None:
-            bound += np.maximum.reduceat(walked, start[:-1], axis=1)
-        for b in np.argsort(-bound.max(axis=0, initial=0), kind="stable"):
-            some = np.flatnonzero(bound[:, b] + 2e-8 >= best.min(axis=1))
-            if not len(some):
-                continue
-            terms, weights, examples = self.blocks[b]
-            s = q[some][:, terms] @ weights
-            if walked is not None:
-                s += walked[some, start[b] : start[b + 1]]
-            s = np.round(s, 8) - examples * 1e-13
+    """The examples' vectors as posting lists over their places in the order of ids, and what a vote needs."""
+
+    def __init__(self, vocabulary: np.ndarray, idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, held: np.ndarray, first: np.ndarray, row: np.ndarray, weight: np.ndarray):
+        self.vocabulary, self.idf, self.ids, self.labels, self.held = vocabulary, idf, ids, labels, held  # idf: with the factor of telling terms
+        self.first, self.row, self.weight = first, row, weight
+        self.prior = float(labels.mean())
+        self.steps = np.array([0.0, 1.0]), np.array([0.0, 1.0])
+        self._ready: tuple[Lists, np.ndarray] | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_ready": None}
+
+    def ready(self) -> tuple[Lists, np.ndarray]:
+        """The lists and the buckets of the vocabulary; made once a process."""
+        if self._ready is None:
+            one_thread()
+            self._ready = Lists(len(self.ids), self.first, self.row.astype(np.int64), self.weight, DENSE), _buckets(self.vocabulary)
+        return self._ready
+
+    def nearest(self, v: Vectors, k: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Places and cosines of the k nearest examples to each row of v, -1 where there are fewer; own: an example that is left out."""
+        n, k = len(v.first) - 1, min(k, len(self.ids))
+        who, cosine = np.full((n, k), -1), np.full((n, k), -1.0)
+        lists, _ = self.ready()
+        more = k if own is None else min(k + 1, len(self.ids))
+        for a in range(0, n, GROUP):
+            z = min(a + GROUP, n)
+            part = slice(v.first[a], v.first[z])
+            row, place, score = best_rows(lists, v.first[a : z + 1] - v.first[a], v.term[part], v.weight[part], np.full(z - a, 1e-8), np.ones(z - a, bool), np.ones(len(self.ids), bool), more)
+            score = np.round(score, 8)
+            ok = score > 0
             if own is not None:
-                s[own[some][:, None] == examples[None, :]] = -2.0
-            gains = (s > best[some].min(axis=1, keepdims=True)).any(axis=1)
-            some, s = some[gains], s[gains]
-            if not len(some):
-                continue
-            s = np.concatenate([best[some], s], axis=1)
-            w = np.concatenate([who[some], np.broadcast_to(examples, (len(some), len(examples)))], axis=1)
-            top = np.argpartition(-s, k - 1, axis=1)[:, :k]
-            best[some], who[some] = np.take_along_axis(s, top, 1), np.take_along_axis(w, top, 1)
-        order = np.argsort(-best, axis=1)
-        return np.take_along_axis(who, order, 1), np.take_along_axis(best, order, 1)
+                ok &= place != own[a + row]
+            row, place, score = row[ok], place[ok], score[ok]
+            by = np.lexsort((place, -score, row))
+            row, place, score = row[by], place[by], score[by]
+            rank = np.arange(len(row)) - np.searchsorted(row, row)
+            top = rank < k
+            who[a + row[top], rank[top]], cosine[a + row[top], rank[top]] = place[top], score[top]
+        return who, cosine
 
     def vote(self, who: np.ndarray, cosine: np.ndarray) -> np.ndarray:
-        w = np.where(cosine > -0.5, 1 / (1.02 - np.clip(cosine, 0, 1)), 0)
+        w = np.where(who >= 0, 1 / (1.02 - np.clip(cosine, 0, 1)), 0)
         return (w * self.labels[who]).sum(axis=1) / np.maximum(w.sum(axis=1), 1e-12)
 
     def calibrated(self, votes: np.ndarray) -> np.ndarray:
         return np.clip(0.98 * np.interp(votes, *self.steps) + 0.02 * votes, 0, 1)  # the vote itself orders what is level
 
+    def vectors_of(self, data: np.ndarray, offsets: np.ndarray, shared: bool = False) -> Vectors:
+        """Of a slice of texts; shared: of terms that several examples hold."""
+        rows, h, n = _terms(data, offsets)
+        row, term, tf = counted(*_known(rows, h, self.vocabulary, self.ready()[1]), len(self.vocabulary))
+        if shared:
+            some = self.held[term] > 1
+            row, term, tf = row[some], term[some], tf[some]
+        return vectors(row, term, (1 + np.log(tf)) * self.idf[term], n)
+
 
 def counted(rows: np.ndarray, at: np.ndarray, n_terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (row, term) with their counts."""
@@ -266,60 +247,45 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
 
     idf = idf * telling(row, term, len(vocabulary), y, once)
 
-    weight = (1 + np.log(tf)) * idf[term]
-    del tf
-    v = vectors(row, term, weight, len(ids))
+    v = vectors(row, term, (1 + np.log(tf)) * idf[term], len(ids))
     held = np.bincount(term, minlength=len(vocabulary))
-    long = held * LONG > len(ids)
-    column = np.where(long, np.cumsum(long) - 1, -1)
-    dense = long[term]
-    x = np.zeros((len(ids), int(long.sum())))
-    x[row[dense], column[term[dense]]] = v.weight[dense]
-    # examples with the same strongest terms lie together, so that a block's maxima are tight
-    strongest = np.argsort(-x, axis=1, kind="stable")[:, :3]
-    order = np.lexsort((np.arange(len(ids)), *strongest.T[::-1]))
-    blocks, maxima = [], []
-    for i in range(0, len(order), BLOCK):
-        e = order[i : i + BLOCK]
-        columns = np.flatnonzero(x[e].any(axis=0))
-        blocks.append((columns, np.ascontiguousarray(x[e][:, columns].T), e))
-        maxima.append(x[e].max(axis=0))
-    place = np.empty(len(ids), np.int32)
-    place[order] = np.arange(len(ids))
-    by = np.flatnonzero(~dense)
-    by = by[np.argsort(term[by], kind="stable")].astype(np.int32)
-    first = np.concatenate([[0], np.cumsum(np.where(long, 0, held))])
-    out = Index(vocabulary, idf, _buckets(vocabulary), blocks, np.array(maxima), ids, y, (np.array([0.0, 1.0]), np.array([0.0, 1.0])), float(y.mean()), column, first, place[row[by]], v.weight[by])
-    del x, by, dense, v, strongest
-    if len(ids) > 1:
-        shared = held[term] > 1
-        v = vectors(row[shared], term[shared], weight[shared], len(ids))
-        del row, term, weight, shared
-        votes = np.concatenate([out.vote(*out.nearest_to(v, i, min(i + 64, len(ids)), NEIGHBOURS, np.arange(i, min(i + 64, len(ids))))) for i in range(0, len(ids), 64)])
-        seen = np.diff(v.first) > 0
-        if seen.any():
-            out.steps = isotonic(votes[seen], y[seen])
+    by = np.argsort(term, kind="stable")
+    out = Index(vocabulary, idf, ids, y, held, np.concatenate([[0], np.cumsum(held)]), row[by], v.weight[by])
+    del v, by, row, term, tf
+    place = {i: n for n, i in enumerate(ids.tolist())}
+    shared = docs.sparkSession.sparkContext.broadcast(out)
+
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        for b in batches:
+            data, off = _lowered(b.column("text"))
+            for i, j in slices(off):
+                own = b.column(key).slice(i, j - i)
+                who, cosine = index.nearest(index.vectors_of(data, off[i : j + 1], shared=True), NEIGHBOURS, np.searchsorted(index.ids, np.array(own.to_pylist())))
+                seen = (who >= 0).any(axis=1)
+                yield pa.RecordBatch.from_arrays([own.filter(pa.array(seen)), pa.array(index.vote(who, cosine)[seen])], [key, "vote"])
+
+    votes = examples.select(key, "text").repartition(docs.sparkSession.sparkContext.defaultParallelism).mapInArrow(left_out, f"`{key}` {kind}, vote double").collect()
+    shared.destroy()
+    discard(examples)
+    if votes:
+        at = np.array([place[r[0]] for r in votes])
+        by = np.argsort(at)
+        out.steps = isotonic(np.array([r[1] for r in votes])[by], y[at[by]])
     return out
 
 
-def _scored(index: Index, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, list[str]]]:
-    """First row, scores and evidence of each slice of texts."""
+def _scored(index: Index, texts: pa.Array, evidence: bool) -> Iterator[tuple[int, np.ndarray, list[str]]]:
+    """First row, scores and (if asked for) evidence of each slice of texts."""
     data, off = _lowered(texts)
-    for i, j in slices(off, 1 << 19):
-        rows, h, n = _terms(data, off[i : j + 1])
-        row, term, tf = counted(*_known(rows, h, index.vocabulary, index.buckets), len(index.vocabulary))
-        v = vectors(row, term, (1 + np.log(tf)) * index.idf[term], n)
-        scores = np.full(n, index.prior)
-        evidence = [""] * n
-        for a in range(0, n, 256):
-            part = np.arange(a, min(a + 256, n))
-            who, cosine = index.nearest_to(v, a, part[-1] + 1, NEIGHBOURS)
-            seen = v.first[part + 1] > v.first[part]
-            part, who, cosine = part[seen], who[seen], cosine[seen]
-            scores[part] = index.calibrated(index.vote(who, cosine))
-            for r, w, c in zip(part, who[:, :3], cosine[:, :3], strict=True):
-                evidence[r] = ",".join(f"{index.ids[e]}:{max(s, 0):.4f}:{int(index.labels[e])}" for e, s in zip(w, c, strict=True))
-        yield i, scores, evidence
+    for i, j in slices(off):
+        who, cosine = index.nearest(index.vectors_of(data, off[i : j + 1]), NEIGHBOURS)
+        seen = (who >= 0).any(axis=1)
+        said = [""] * (j - i)
+        if evidence:
+            for r in np.flatnonzero(seen):
+                said[r] = ",".join(f"{index.ids[e]}:{c:.4f}:{int(index.labels[e])}" for e, c in zip(who[r, :3], cosine[r, :3], strict=True) if e >= 0)
+        yield i, np.where(seen, index.calibrated(index.vote(who, cosine)), index.prior), said
 
 
 def score(docs: DataFrame, index: Index | None, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -332,7 +298,7 @@ def score(docs: DataFrame, index: Index | None, text: str = "text", key: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, scores, evidence in _scored(shared.value, b.column("text")):
+            for i, scores, evidence in _scored(shared.value, b.column("text"), True):
                 yield pa.RecordBatch.from_arrays([b.column(key).slice(i, len(scores)), pa.array(scores), pa.array(evidence)], [key, "score", "evidence"])
 
     return docs.select(key, F.col(text).alias("text")).mapInArrow(run, schema)
@@ -346,7 +312,7 @@ def reject(docs: DataFrame, index: Index | None, threshold: float = THRESHOLD, t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, scores, _ in _scored(shared.value, b.column(text)):
+            for i, scores, _ in _scored(shared.value, b.column(text), False):
                 yield b.slice(i, len(scores)).filter(pa.array(scores < threshold))
 
     return docs.mapInArrow(run, docs.schema)
