@@ -225,6 +225,33 @@ def test_near_duplicates_odd(spark, odd, none):
     assert neardup.near_duplicates(none).count() == 0
 
 
+def test_words_of_a_regular_make_differ(spark):
+    """Thue-Morse words over a and b collide under hashes that are linear in the bytes."""
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    for n in (1024, 4096):
+        rows = [(1, "".join("ab"[b] for b in bits[:n])), (2, "".join("ba"[b] for b in bits[:n]))]
+        got = neardup.near_duplicates(spark.createDataFrame(rows, DOC), 2).collect()
+        assert {r["component_id"] for r in got} == {1, 2}
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    """Rows of one id are one document: it joins what each of them is near; ids may be texts."""
+    a, b, c = ("one two three four five six seven eight nine ten eleven twelve", "red green blue black white grey pink brown gold silver ruby jade", "sun moon star sky cloud rain snow wind storm fog ice hail")
+    rows = [("k5", a), ("k5", b), ("k7", a + " x"), ("k9", b + " y"), ("k2", c), ("k2", c), (None, c)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(df, 2).collect()}
+    assert got == {("k5", "k5", True), ("k7", "k5", False), ("k9", "k5", False), ("k2", "k2", True), (None, None, True)}
+    assert sorted(str(r["doc_id"]) for r in neardup.one_of_each(df, 2).collect()) == ["None", "k2", "k5", "k5"]
+
+
+def test_near_copies_at_the_threshold(spark):
+    """Every pair of 0.8 or more of the larger table is found: no link is lost in banding."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sets = {r["doc_id"]: brute.shingles(r["text"], 2) for r in docs.collect()}
+    want = brute.components(sets)
+    assert {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs, 2).collect()} == want and len(set(want.values())) < len(want)
+
+
 # op5
 
 

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass handles; bounds a Python worker's memory (a longer document is a pass of its own).
 SLICE_BYTES = 1 << 20
@@ -50,6 +51,26 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+#: Parts that a group's rows are dealt into where a group may hold a third of all rows.
+SALTS = 16
+
+
+def join_spread(rows: DataFrame, groups: DataFrame, key: str, by: str, how: str = "inner") -> DataFrame:
+    """rows with their group's row of groups (one a key). A group's rows are dealt over SALTS tasks, by a hash of `by`."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    each = salted.select(key, "_salt").distinct().join(groups, key)
+    return salted.join(each, [key, "_salt"], how).drop("_salt")
+
+
+def with_group(rows: DataFrame, key: str, by: str, keep: str = "true", **of: tuple[str, str]) -> DataFrame:
+    """rows with aggregates of their group, dealt as in join_spread; of: name -> (min, max or count, column); keep: which groups.
+
+    rows is read twice, so it should be a table or a cheap projection of one."""
+    parts = rows.groupBy(key, F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int").alias("_salt")).agg(*[getattr(F, kind)(c).alias(n) for n, (kind, c) in of.items()])
+    whole = parts.groupBy(key).agg(*[getattr(F, "sum" if kind == "count" else kind)(n).alias(n) for n, (kind, _) in of.items()]).filter(keep)
+    return join_spread(rows, whole, key, by)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """spread: deal the rows out where the files give fewer tasks than there are cores (one small file); else as they lie."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -2,21 +2,23 @@
 
 1. One pass over the texts gives each document its number of distinct word shingles, a 128-bit digest of the set, many
    universal hash minima, and a key for each band of minima.
-2. Documents of equal sets are one class, represented by the smallest id; only representatives go on.
-3. Representatives that share a band key are a bucket. Each bucket is first compared with one hub, the member that lies
-   in the largest buckets, so a group of copies costs as many comparisons as it has members, not their square.
+2. Documents of equal sets are one class; only classes go on, as numbers, each with the text of its smallest id.
+3. Classes that share a band key are a bucket. Each bucket is first compared with one hub, the member that lies in the
+   largest buckets, so a group of copies costs as many comparisons as it has members, not their square.
 4. Signature verification drops pairs whose minima agree too seldom; the rest is confirmed on the full shingle sets.
 5. Components by alternating large-star and small-star.
 6. A hub and those near it by signature are a family. Families still in several components get all pairs between those
    components compared, on full sets and in blocks of bounded size, which give back no more links than join components.
    Buckets still in several components get their other pairs compared too, so no link within a bucket is lost.
 
-Banding misses a pair of similarity 0.8 with probability (1 - 0.8^4)^32, about 5e-8.
+Groups (buckets, families, vertices, classes) may hold a third of all rows: what is known of a group is joined to parts of it.
+Banding misses a pair of similarity 0.8 with probability (1 - 0.8^4)^32, about 5e-8. Shingles are known by 64-bit hashes of
+their words' hashes; two shingles of a pair of sets are taken for one with a probability of about 1e-19 each.
 
 Cases: a null or empty text, or one without words, has no shingles and is linked with nothing; fewer words than a shingle
-takes make one shingle of all; a null id is never linked, its component is null and it is kept; rows that repeat an id
-are judged row by row, and classes with the same smallest id are one; an empty table gives an empty result; extra columns
-are not read.
+takes make one shingle of all; a null id is never linked, its component is null and it is kept; rows that repeat an id are one
+document, linked with all that any of them is linked with; ids may be of any type that has an order; a very long text is a
+slice of its own; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacatia.llm.common import SPACE, Words, discard, distinct_per_row, materialize, mix, slices, table, text_buffers
+from vacatia.llm.common import SPACE, Words, discard, distinct_per_row, join_spread, materialize, mix, slices, table, text_buffers, with_group
 
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
@@ -105,6 +107,10 @@ def band_keys(m: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _class(v: np.ndarray, at: np.ndarray, r: int) -> bytes:
+    return hashlib.blake2b(v[at[r] : at[r + 1]].tobytes(), digest_size=16).digest()
+
+
 def signatures(docs: DataFrame, k: int, text: str, key: str) -> DataFrame:
     """(id, n, class, bands, sig) of every row. class is null where a row is linked with nothing."""
 
@@ -118,35 +124,39 @@ def signatures(docs: DataFrame, k: int, text: str, key: str) -> DataFrame:
                 m = minima(v, at)
                 known = np.asarray(ids.slice(i, j - i).is_valid())
                 linked = (n > 0) & known
-                cls = [hashlib.blake2b(v[at[r] : at[r + 1]].tobytes(), digest_size=16).digest() if linked[r] else None for r in range(j - i)]
+                cls = [_class(v, at, r) if linked[r] else None for r in range(j - i)]
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i + 1) * BANDS, BANDS, dtype=np.int32)), pa.array(band_keys(m).reshape(-1)))
                 sig = pa.FixedSizeBinaryArray.from_buffers(pa.binary(HASHES), j - i, [None, pa.py_buffer(m.astype(np.uint8).tobytes())]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(n), pa.array(cls, pa.binary()), bands, sig], ["id", "n", "class", "bands", "sig"])
 
-    return docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "id long, n long, class binary, bands array<long>, sig binary")
+    return docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, f"id {dict(docs.dtypes)[key]}, n long, class binary, bands array<long>, sig binary")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, k: int, text: str, key: str) -> DataFrame:
-    """(id, set) of the given distinct ids: the sorted distinct shingle hashes as bytes."""
+def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int, text: str, key: str) -> DataFrame:
+    """(id, set) of the wanted vertices: the sorted distinct shingle hashes as bytes, from the text of the class's smallest id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = text_buffers(b.column("text"))
             for i, j in slices(off):
                 v, at = shingle_sets(data, off[i : j + 1], k)
-                yield pa.RecordBatch.from_arrays([b.column("id").slice(i, j - i), pa.array([v[at[r] : at[r + 1]].tobytes() for r in range(j - i)], pa.binary())], ["id", "set"])
+                own = b.column("class").slice(i, j - i).to_pylist()
+                ok = [r for r in range(j - i) if _class(v, at, r) == own[r]]  # an id may have rows of other classes
+                yield pa.RecordBatch.from_arrays([b.column("id").slice(i, j - i).take(pa.array(ok, pa.int64())), pa.array([v[at[r] : at[r + 1]].tobytes() for r in ok], pa.binary())], ["id", "set"])
 
-    ids = materialize(ids, "ids")
-    if ids.count() <= MOST_SENT:
-        ids = F.broadcast(ids)
-    some = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(ids, "id", "left_semi")
-    return materialize(some.mapInArrow(run, "id long, set binary"), "sets")
+    few = materialize(classes.join(wanted, classes["vertex"] == wanted["id"]).select(F.col("least").alias("_key"), F.col("vertex").alias("id"), "class"), "wanted")
+    sent = F.broadcast(few) if few.count() <= MOST_SENT else few
+    some = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("text")).join(sent, "_key").select("id", "class", "text")
+    out = materialize(some.mapInArrow(run, "id long, set binary").dropDuplicates(["id"]), "sets")
+    discard(few)
+    return out
 
 
 def _with_both(edges: DataFrame, what: DataFrame, col: str) -> DataFrame:
+    """edges with what is known of both ends; b, which may be a hub of many, is spread."""
     a = what.select(F.col("id").alias("a"), F.col(col).alias("sa"))
     b = what.select(F.col("id").alias("b"), F.col(col).alias("sb"))
-    return edges.join(a, "a").join(b, "b").select("a", "b", "sa", "sb")
+    return join_spread(edges, b, "b", "a").join(a, "a").select("a", "b", "sa", "sb")
 
 
 def _likely(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
@@ -190,23 +200,23 @@ def components(edges: DataFrame) -> DataFrame:
 
     def large_star(e: DataFrame) -> DataFrame:
         sym = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
-        least = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        return sym.join(least, "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        least = with_group(sym, "u", "v", m=("min", "v"))
+        return least.filter("v > u").select(F.col("v").alias("a"), F.least("u", "m").alias("b")).distinct()
 
     def small_star(e: DataFrame) -> DataFrame:
         down = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        moved = down.join(least, "u").filter("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        return moved.union(least.select("u", "m")).distinct()
+        least = with_group(down, "u", "v", m=("min", "v"))
+        return least.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("a"), F.col("m").alias("b")).distinct()
 
     state = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-    e = edges.filter("a <> b").select("a", "b").distinct()
+    e = materialize(edges.filter("a <> b").select("a", "b").distinct(), "edges")
     before = None
     while True:
-        nxt = materialize(small_star(large_star(e)), "star")
+        large = materialize(large_star(e), "large-star")
+        nxt = materialize(small_star(large), "star")
+        discard(large)
         now = state(nxt)
-        if before is not None:
-            discard(e)
+        discard(e)
         if now == before or not now[0]:
             return nxt.select(F.col("a").alias("id"), F.col("b").alias("component"))
         e, before = nxt, now
@@ -222,9 +232,9 @@ def _blocks(members: DataFrame, group: str) -> DataFrame:
 
 def _mixed(members: DataFrame, comps: DataFrame, group: str) -> DataFrame:
     """(group, rep, component, size) of the groups whose members are in several components."""
-    m = members.join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = m.groupBy(group).agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).filter("lo <> hi").select(group, "size")
-    return m.select(group, "rep", "component").join(mixed, group)
+    m = members.select(group, "rep").join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    m = materialize(m, "with-component")
+    return with_group(m, group, "rep", "lo <> hi", lo=("min", "component"), hi=("max", "component"), size=("count", "rep")).drop("lo", "hi")
 
 
 def _family_links(families: DataFrame, comps: DataFrame, sigs: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
@@ -285,38 +295,57 @@ def _bucket_pairs(members: DataFrame, families: DataFrame, comps: DataFrame, sig
     return pairs.union(big.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")).distinct()
 
 
+def _same_id(linked: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges (a, b) between the classes of an id that has rows of several."""
+    several = linked.groupBy("id").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("id")
+    several = materialize(several, "repeated")
+    if several.isEmpty():
+        return several.sparkSession.createDataFrame([], "a long, b long")
+    of = materialize(linked.select("id", "class").join(several, "id", "left_semi").distinct().join(classes.select("class", "vertex"), "class").select("id", "vertex"), "repeated")
+    return with_group(of, "id", "vertex", m=("min", "vertex")).filter("vertex <> m").select(F.col("vertex").alias("a"), F.col("m").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, least: int = 80, of: int = 100, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row; linked where of * intersection >= least * union of k-word shingles."""
     all_rows = materialize(signatures(docs, k, text, key), "signatures")
     linked = all_rows.filter(F.col("class").isNotNull())
-    classes = materialize(linked.groupBy("class").agg(F.min("id").alias("rep")), "classes")
-    reps = materialize(linked.join(classes.withColumnRenamed("rep", "id"), ["class", "id"]).select("id", "bands", "sig").dropDuplicates(["id"]), "reps")
+    classes = linked.groupBy("class").agg(F.min("id").alias("least"))
+    classes = materialize(classes.withColumn("vertex", F.monotonically_increasing_id()), "classes")
+    first = classes.select("class", F.col("least").alias("id"), "vertex")
+    reps = materialize(linked.join(first, ["class", "id"]).select(F.col("vertex").alias("id"), "bands", "sig").dropDuplicates(["id"]), "reps")
     sigs = reps.select("id", "sig")
+    same_id = materialize(_same_id(linked, classes), "same-id")
 
     rows = reps.select(F.col("id").alias("rep"), F.explode("bands").alias("bucket"))
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    members = materialize(rows.join(sizes, "bucket").select("bucket", "rep", "size"), "members")
+    members = materialize(with_group(rows, "bucket", "rep", "size > 1", size=("count", "rep")), "members")
     weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
     hubs = members.join(weight, "rep").groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("hub")).select("bucket", (-F.col("hub.rep")).alias("hub"))
-    near_hub = _likely(members.join(hubs, "bucket").filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), sigs, least / of)
-    sets = _sets(docs, _vertices(near_hub), k, text, key)
-    links = _confirmed(near_hub, sets, least, of)
+    to_hub = join_spread(members.select("bucket", "rep"), hubs, "bucket", "rep").filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
+    near_hub = _likely(materialize(to_hub, "to-hub"), sigs, least / of)
+    sets = _sets(docs, classes, _vertices(near_hub), k, text, key)
+    links = _confirmed(near_hub, sets, least, of).union(same_id)
     comps = components(links)
-    families = near_hub.select(F.col("b").alias("family"), F.col("a").alias("rep")).union(near_hub.select("b", "b")).distinct()
+    families = materialize(near_hub.select(F.col("b").alias("family"), F.col("a").alias("rep")).union(near_hub.select("b", "b")).distinct(), "families")
     more = materialize(_family_links(families, comps, sigs, sets, least, of), "family-links")
     discard(sets)
     if not more.isEmpty():
         links = links.union(more)
         comps = components(links)
-    pairs = _likely(_bucket_pairs(members, families, comps, sigs, least / of), sigs, least / of)
+    pairs = _likely(materialize(_bucket_pairs(members, families, comps, sigs, least / of), "pairs"), sigs, least / of)
     if not pairs.isEmpty():
-        more = _confirmed(pairs, _sets(docs, _vertices(pairs), k, text, key), least, of)
+        sets = _sets(docs, classes, _vertices(pairs), k, text, key)
+        more = _confirmed(pairs, sets, least, of)
+        discard(sets)
         if not more.isEmpty():
             comps = components(links.union(more))
-    of_class = classes.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select("class", F.coalesce("component", "rep").alias("component_id"))
-    out = all_rows.select("id", "n", "class").join(of_class, "class", "left").withColumn("component_id", F.coalesce("component_id", "id"))
-    kind = dict(docs.dtypes)[key]
-    return out.select(F.col("id").cast(kind).alias(key), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    # a component's smallest id, for each class
+    of_class = classes.join(comps.withColumnRenamed("id", "vertex"), "vertex", "left").select("class", "least", F.coalesce("component", "vertex").alias("component"))
+    of_class = materialize(of_class, "of-class")
+    of_class = materialize(with_group(of_class, "component", "class", component_id=("min", "least")).select("class", "component_id"), "component-ids")
+    for used in (reps, members, near_hub, families):
+        discard(used)
+    out = join_spread(all_rows.select("id", "n", "class"), of_class, "class", "id", "left").withColumn("component_id", F.coalesce("component_id", "id"))
+    return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, k: int = 5, least: int = 80, of: int = 100, text: str = "text", key: str = "doc_id") -> DataFrame:
