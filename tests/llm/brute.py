@@ -150,3 +150,134 @@ def toxicity(docs, examples, k=25):
 
     prior = sum(label.values()) / len(label)
     return {i: min(max(0.98 * calibrated(vote(v)) + 0.02 * vote(v), 0), 1) if v else prior for i, v in nearest(examples, docs, k).items()}
+
+
+def mix(docs, topics, u, temper, budget):
+    """{id: (source, lang, text)} -> {kept id: (topic, tokens, probability, weight)}."""
+    import numpy as np
+
+    from vacatia.llm import mixing
+    from vacatia.llm.common import SPACE, Words
+
+    def place(w):
+        raw = np.frombuffer(w.encode(), np.uint8)
+        return int(mixing.features(Words(raw, np.array([0, len(raw)]), SPACE))[0])
+
+    def topic(t, lang):
+        c = Counter(place(w) for w in re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+        v = {x: (1 + math.log(k)) * topics.idf[x] for x, k in c.items()}
+        size = max(math.sqrt(sum(x * x for x in v.values())), 1e-12)
+        taken = topics.taken.get(lang, topics.taken[None])
+        near = [round(sum(w * float(topics.centres[x, k]) for x, w in v.items()) / size - taken[k], 9) for k in range(topics.centres.shape[1])]
+        return "topic" + str(near.index(max(near)) if c else 0), sum(c.values())
+
+    rows = {}
+    for i, (source, lang, text) in docs.items():
+        source, lang = source or "(none)", lang or "(none)"
+        rows[i] = (source, lang, *topic(text, lang))
+    cells = Counter()
+    for source, lang, name, n in rows.values():
+        cells[source, lang, name] += n
+    total = sum(cells.values())
+    w = {c: n / total for c, n in cells.items()}
+    for _ in range(200):
+        off = 0
+        for d, power in enumerate(temper.values()):
+            of, now = Counter(), Counter()
+            for c, n in cells.items():
+                of[c[d]] += n
+                now[c[d]] += w[c]
+            whole = sum(t**power for t in of.values() if t)
+            aim = {v: t**power / whole if t else 0 for v, t in of.items()}
+            off = max(off, max(abs(now[v] - aim[v]) for v in of if now[v] > 0))
+            w = {c: x * aim[c[d]] / now[c[d]] if now[c[d]] > 0 else 0 for c, x in w.items()}
+        if off < 1e-9:
+            break
+    full, p = set(), {}
+    while True:
+        rest = budget * total - sum(cells[c] for c in full)
+        scale = rest / sum(w[c] for c in cells if c not in full and w[c] > 0)
+        p = {c: 1.0 if c in full else scale * w[c] / n if n else budget for c, n in cells.items()}
+        over = {c for c, x in p.items() if x > 1 and c not in full}
+        if not over:
+            break
+        full |= over
+    expected = sum(p[c] * n for c, n in cells.items())
+    out = {}
+    for i, (source, lang, name, n) in rows.items():
+        c = source, lang, name
+        if u[i] < p[c]:
+            out[i] = (name, n, p[c], w[c] * expected / (p[c] * cells[c]) if cells[c] else 0.0)
+    return out
+
+
+def languages(docs, lang_of, switch=14.0):
+    """{id: text}, {id: lang} to learn from (all of them) -> {id: (lang, score)}: every word against every language, full Viterbi."""
+    import unicodedata
+
+    letter = lambda ch: unicodedata.category(ch)[0] == "L"
+    word = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+    def script(ch):
+        from vacatia.llm.langid import SCRIPTS
+
+        return [n for s, n in SCRIPTS if s <= ord(ch)][-1]
+
+    def grams(w):
+        raw = re.sub("[A-Z]", lambda m: m[0].lower(), w).encode()
+        padded = b" " + raw + b" "
+        return [((padded[i] << 16 | padded[i + 1] << 8 | padded[i + 2]) * 0x9E3779B1 & 0xFFFFFFFF) >> 16 for i in range(len(raw))]
+
+    def parsed(t):
+        out = []
+        for w in word.findall(t or ""):
+            of = Counter(script(ch) for ch in w if letter(ch))
+            out.append((grams(w), sum(of.values()), of))
+        return out
+
+    langs = sorted(set(lang_of.values()))
+    counts, scripts, texts = ({v: Counter() for v in langs} for _ in range(3))
+    for i, v in lang_of.items():
+        if docs[i] is None:
+            continue
+        texts[v]["n"] += 1
+        for g, n, of in parsed(docs[i]):
+            if n:
+                counts[v].update(g)
+                scripts[v].update(of)
+    used = len({x for c in counts.values() for x in c})
+    logs = {v: (c, sum(c.values()) + 0.2 * used) for v, c in counts.items()}
+    fits = {v: {s for s, n in scripts[v].items() if n >= 0.01 * sum(scripts[v].values())} for v in langs}
+    prior = [math.log((texts[v]["n"] + 1) / (sum(t["n"] for t in texts.values()) + len(langs))) for v in langs]
+    out = {}
+    names = sorted({n for _, n in __import__("vacatia.llm.langid", fromlist=["SCRIPTS"]).SCRIPTS})
+    for i, t in docs.items():
+        words = parsed(t)
+        total = sum(n for _, n, _ in words)
+        if not total:
+            out[i] = ("und", 0.0)
+            continue
+        scores = []
+        for g, n, of in words:
+            if not n:
+                scores.append([0.0] * (len(langs) + 1))
+                continue
+            own = max(names, key=lambda s: (of[s], -names.index(s)))
+            raw = [sum(math.log((logs[v][0][x] + 0.2) / logs[v][1]) for x in g) for v in langs]
+            top = max(raw)
+            row = [max(r - top, -30.0) if own in fits[v] else -60.0 for v, r in zip(langs, raw, strict=True)]
+            scores.append([*row, -60.0 if any(own in fits[v] for v in langs) else 0.0])
+        start = [*prior, 0.0]
+        v, back = [a + b for a, b in zip(scores[0], start, strict=True)], []
+        for row in scores[1:]:
+            top = v.index(max(v))
+            back.append([k if v[k] >= v[top] - switch else top for k in range(len(v))])
+            v = [max(x, v[top] - switch) + y for x, y in zip(v, row, strict=True)]
+        path = [v.index(max(v))]
+        for b in reversed(back):
+            path.append(b[path[-1]])
+        path.reverse()
+        weight = [sum(n for (_, n, _), k in zip(words, path, strict=True) if k == x) for x in range(len(langs))]
+        top = weight.index(max(weight))
+        out[i] = (langs[top], weight[top] / total) if any(weight) else (langs[prior.index(max(prior))], 0.0)
+    return out

@@ -131,6 +131,28 @@ def test_secret_spans(spark, odd, none):
     assert secrets.scan(none).count() == 0
 
 
+def test_many_spans_and_marks(spark, monkeypatch):
+    """More spans than one array takes up at a time, and texts that hold the marks of the one-pass way themselves."""
+    import re
+
+    many = " ".join(f"token={'ab' * 6}{i:04d}Q -" for i in range(1500))
+    texts = {1: many, 2: "\ufdd0 secret: abcdefghijkl \ufdd1\ufdd2 AKIA" + "Z" * 20, 3: "secret=short token=" + "x" * 12, None: "x " + many}
+    df = spark.createDataFrame(list(texts.items()), DOC)
+    p = re.compile(secrets.RULES[0].pattern)
+
+    def want(t):
+        return [(m.start(), m.end()) for m in p.finditer(t) if len(m[2]) >= 12]
+
+    def read():
+        return {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "assign"] for r in secrets.scan(df).collect()}
+
+    assert read() == {i: want(t) for i, t in texts.items()}
+    red = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert red[1] == " ".join(["[ASSIGN] -"] * 1500) and red[3] == "secret=short [ASSIGN]"
+    monkeypatch.setattr(secrets, "MOST_SENT", -1)  # candidates too many to send
+    assert read() == {i: want(t) for i, t in texts.items()}
+
+
 def test_trigram_queries():
     q = {r.kind: secrets.trigram_query(r.pattern) for r in secrets.RULES}
     assert q["access"] == [frozenset({"aki", "kia"})] and q["hex"] == []
@@ -154,8 +176,9 @@ def test_tiling_same_as_trying_all():
         item = rng.integers(0, 6, 14).tolist()
         doc = rng.integers(0, 6, 30).tolist()
         k = 3
-        seeds = [(d, p) for d in range(len(doc) - k + 1) for p in range(len(item) - k + 1) if doc[d : d + k] == item[p : p + k]]
-        assert sum(n for _, _, n in decontaminate.tiles(seeds, k)) == brute.tiling(doc, item, k)
+        found = decontaminate.tiles(np.array(doc), np.array(item), k)
+        assert sum(n for _, _, n in found) == brute.tiling(doc, item, k)
+        assert all(doc[d : d + n] == item[p : p + n] for d, p, n in found)
 
 
 def test_decontaminate_same_as_brute_force(spark, sf, docs):
@@ -170,8 +193,27 @@ def test_decontaminate_same_as_brute_force(spark, sf, docs):
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.op3_decontaminate(spark, sf).collect()} == want
 
 
+def test_tiling_of_equal_words_in_bounded_memory():
+    """20,000 equal words against 500: some numbers a word, not one for each pair of places."""
+    import tracemalloc
+
+    tracemalloc.start()
+    assert sum(n for _, _, n in decontaminate.tiles(np.zeros(20_000, np.int64), np.zeros(500, np.int64), 4)) == 500
+    assert tracemalloc.get_traced_memory()[1] < 20e6
+    tracemalloc.stop()
+
+
+def test_decontaminate_seeds_of_all_items(spark):
+    """A gram that every item holds pairs nothing, and hides nothing; short items match whole documents."""
+    words = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(["of", "the", "one", "and"] + words[12 * i : 12 * i + 12])) for i in range(30)] + [(90, "So short"), (91, "")]
+    docs = [(i, " ".join(["x", "of", "the", "one", "and"] + words[12 * i : 12 * i + 5])) for i in range(30)] + [(50, "so, SHORT"), (51, "so short !not"), (52, "of the one and more")]
+    got = decontaminate.contaminated(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["tokens"]) for r in got} == {*((i, i, 9) for i in range(30)), (50, 90, 2)}
+
+
 def test_decontaminate_reordered_and_odd(spark, odd, none, monkeypatch):
-    bench = spark.createDataFrame([(7, "a b c d e f g h i j"), (8, "x y"), (None, None)], "item_id long, text string")
+    bench = spark.createDataFrame([(7, "a b c d e f g h i j"), (8, "x q"), (None, None)], "item_id long, text string")
     df = spark.createDataFrame([(1, "zz F g h i j q a b C d e"), (2, None), (None, "A b, c d e"), (3, "a b c d z")], DOC)
     got = {r["doc_id"]: (r["n_tiles"], r["tokens"]) for r in decontaminate.contaminated(df, bench).collect()}
     assert got == {1: (2, 10), None: (1, 5)}
@@ -258,7 +300,7 @@ def test_near_copies_at_the_threshold(spark):
 def test_rotation(spark):
     rows = [(1, 0, "a", "hi <|im_end|>"), (1, 1, "b", None), (1, 1, "b", None), (1, 2, None, "x"), (None, 0, "system", "sys"), (None, 1, "a", "y"), (3, None, "system", "s"), (4, 300, "a", "late"), (4, 1, "b", "early")]
     got = {(r["conv_id"], r["speaker"], r["part"]): r for r in chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("speaker", F.lit("clash"))).collect()}
-    assert set(got) == {(1, "a", 0), (1, "b", 0), (1, "unknown", 0), (None, "a", 0), (4, "a", 0), (4, "a", 1), (4, "b", 0), (4, "b", 1)}
+    assert set(got) == {(1, "a", 0), (1, "b", 0), (1, "unknown", 0), (None, "a", 0), (4, "a", 0), (4, "b", 0)}
     r = got[1, "a", 0]
     said = [r["rendered"][s["start"] : s["end"]] for s in r["mask"]]
     assert said == ["hi < |im_end|><|im_end|>\n"] and r["n_turns"] == 3
@@ -271,6 +313,21 @@ def test_every_turn_is_learnt_once(spark, sf):
     assert spans == spark.read.parquet(f"{sf}/conversations.parquet").filter("role <> 'system'").distinct().count()
 
 
+def test_rotation_odd(spark):
+    """Many turns of one number, null numbers, a very long turn, line breaks in names; an empty table."""
+    schema = "conv_id long, turn long, role string, text string"
+    rows = [(1, 5, "a", f"t{i:04d}") for i in range(700)] + [(1, None, "b\nc", f"n{i:04d}") for i in range(300)] + [(2, 0, "a", "long " * 50_000), (None, None, "a", "x")]
+    got = chat.rotate(spark.createDataFrame(rows, schema).repartition(5)).orderBy("conv_id", "speaker", "part").collect()
+    mine = [r for r in got if (r["conv_id"], r["speaker"]) == (1, "a")]
+    assert [r["n_turns"] for r in mine] == [256, 256, 256, 232]
+    whole = "".join(r["rendered"] for r in mine)
+    assert whole.startswith(f"{chat.START}user name=b\\nc\nn0000") and whole.count("assistant\nt") == 700 and whole.index("n0299") < whole.index("t0000")
+    said = "".join(r["rendered"][x["start"] : x["end"]] for r in mine for x in r["mask"])
+    assert said == "".join(f"t{i:04d}{chat.END}" for i in range(700))
+    assert {(r["conv_id"], r["speaker"]) for r in got} == {(1, "a"), (1, "b\nc"), (2, "a"), (None, "a")}
+    assert chat.rotate(spark.createDataFrame([], schema)).count() == 0
+
+
 # op6
 
 
@@ -286,6 +343,34 @@ def test_rake_meets_marginals():
     assert abs((p * t).sum() - 0.5 * t.sum()) < 1e-6 and p.max() <= 1
 
 
+def test_mix_same_as_brute_force(spark, sf, docs):
+    """The whole query: topics by the nearest centre, cells, raking, probabilities and the rows that are drawn."""
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    topics = mixing.fit_topics(table, "text", "doc_id", "lang")
+    u = {r["doc_id"]: r["_u"] for r in mixing._keyed(table, "text", "doc_id", topics).select("row.doc_id", "_u").collect()}
+    want = brute.mix({i: (r["source"], r["lang"], r["text"]) for i, r in docs.items()}, topics, u, mixing.TEMPER, mixing.BUDGET)
+    got = {r["doc_id"]: r for r in mixing.op6_mix(spark, sf).collect()}
+    assert got.keys() == want.keys()
+    for i, (topic, n, p, w) in want.items():
+        assert (got[i]["topic"], got[i]["n_tokens"]) == (topic, n) and np.allclose((got[i]["probability"], got[i]["weight"]), (p, w), rtol=1e-6)
+    assert len({r["topic"] for r in got.values()}) > 1
+
+
+def test_mix_targets_that_cannot_be_met():
+    with pytest.warns(UserWarning, match="can't all be met"):
+        mixing.rake(np.array([1.0, 1.0]), [np.array([0, 1]), np.array([0, 1])], [np.array([0.9, 0.1]), np.array([0.1, 0.9])])
+
+
+@pytest.mark.parametrize("cells", [0, 10_000])
+def test_mix_of_cells_without_tokens(spark, cells):
+    """They are kept at the budget's share, so at a budget of 1 all stay, unless their language is not wanted."""
+    rows = [(i, "a", "en", "one two three") for i in range(5)] + [(10, "b", "fr", ""), (11, "b", "fr", None), (12, "b", "xx", "")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")
+    kept = lambda given: {r["doc_id"] for r in mixing.sample(df, given, 1.0, most_cells=cells).collect()}
+    assert kept(None) == {0, 1, 2, 3, 4, 10, 11, 12}
+    assert kept({"lang": {"en": 0.5, "fr": 0.5}}) == {0, 1, 2, 3, 4, 10, 11}
+
+
 def test_mix_by_table_same_as_on_driver(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     a, b = ({r["doc_id"]: (r["probability"], r["weight"]) for r in mixing.sample(docs, {"lang": {"en": 0.5, "fr": 0.5}}, most_cells=n).collect()} for n in (10_000, 0))
@@ -296,7 +381,7 @@ def test_mix_by_table_same_as_on_driver(spark, sf):
 def test_mix_odd(spark, odd, none):
     cols = odd.withColumn("source", F.lit(None).cast("string")).withColumn("lang", F.lit("")).withColumn("topic", F.lit("old"))
     got = mixing.sample(cols, budget=1.0)
-    assert got.count() == len(ODD) and {r["topic"] for r in got.collect()} == {"prose"}
+    assert got.count() == len(ODD) and all(r["topic"].startswith("topic") for r in got.collect())
     assert mixing.sample(none.withColumn("source", F.lit("a")).withColumn("lang", F.lit("b"))).count() == 0
 
 
@@ -312,6 +397,23 @@ def test_audit(spark):
     assert {r["status"] for r in warc.audit(p, q.limit(0)).collect()} == {"missing"}
 
 
+def test_audit_of_odd_ids(spark):
+    """Ids as far apart as they can be, many records of one id and of none, and a very long page."""
+    schema = "page_id long, url string, html string"
+    rows = [(-(1 << 63), "u", "low"), ((1 << 63) - 1, "u", "high"), (0, "u", "x" * 1_000_000)] + [(None, "u", f"n{i}") for i in range(500)] + [(7, "u", f"s{i % 50}") for i in range(500)]
+    p = spark.createDataFrame(rows, schema).repartition(4)
+    assert warc.audit(p, spark.createDataFrame(rows[::-1], schema)).count() == 0
+    other = [*rows[1:4], (None, "u", "other"), *rows[5:-1], (7, "u", "t")]
+    got = {(r["page_id"], r["status"]): (r["offset_start"], r["offset_end"]) for r in warc.audit(p, spark.createDataFrame(other, schema)).collect()}
+    size = {k: sum(len(warc_record(*r)) for r in rows if r[0] == k) for k in {r[0] for r in rows}}
+    low = size[None]
+    assert got == {(-(1 << 63), "missing"): (low, low + size[-(1 << 63)]), (None, "corrupt"): (0, low), (7, "corrupt"): (low + size[-(1 << 63)] + size[0], low + size[-(1 << 63)] + size[0] + size[7])}
+
+
+def warc_record(i, url, html):
+    return f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{'' if i is None else i}>\r\nWARC-Target-URI: {url}\r\nContent-Type: text/html\r\nContent-Length: {len(html)}\r\n\r\n{html}\r\n\r\n"
+
+
 # op8
 
 
@@ -374,12 +476,26 @@ def test_url_rules(spark, monkeypatch):
     assert read(urls.judge(df, urls.RULES)) == want
     monkeypatch.setattr(urls, "MOST_RULES", 1)  # several array files
     assert read(urls.judge(df, urls.RULES)) == want
-    # with all digests equal, stored strings decide
-    monkeypatch.setattr(urls.xxhash, "xxh64_intdigest", lambda _: 7)
-    urls._MAPPED.clear()
+    assert read(urls.judge(df, spark.createDataFrame(urls.RULES, "host string, path string, verdict string"))) == want
     assert urls.judge(df.limit(0), urls.RULES).count() == 0 and urls.judge(df, []).filter("rule is not null").count() == 0
 
 
+@pytest.mark.parametrize("digest", [lambda c: F.lit(7).cast("long"), lambda c: F.length(c).cast("long"), lambda c: F.crc32(c.cast("binary")) % 3])
+def test_url_rules_with_equal_digests(spark, digest):
+    """Digests that collide: the stored strings decide, also for rules that no url has and urls that no rule has."""
+    rules = [*urls.RULES, *((f"h{i}.com", "/a/", "block" if i % 2 else "allow") for i in range(40)), ("h3.com", "/a/", "allow")]
+    rows = [(i, f"http://x.h{i}.com/a/{'b' * i}") for i in range(45)] + [(100, "http://q.net/en/x"), (101, "http://e.example.net/en/x"), (102, "http://zz.zz/a/")]
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string"), rules, digest=digest).collect()}
+    want = {i: (f"h{i}.com/a/", "block" if i % 2 and i != 3 else "allow") if i < 40 else (None, "allow") for i in range(45)}
+    assert got == want | {100: ("net/", "block"), 101: ("example.net/en/", "allow"), 102: (None, "allow")}
+
+
+def test_long_urls(spark):
+    host = ".".join(f"s{i}" for i in range(300))
+    got = urls.judge(spark.createDataFrame([(1, f"http://{host}.net/{'x' * 100_000}")], "page_id long, url string"), urls.RULES).first()
+    assert got["rule"] == "net/" and len(got["path"]) == 100_001
+
+
 # op10
 
 
@@ -409,3 +525,39 @@ def test_languages_odd(spark, sf, odd, none):
     assert [s["lang"] for s in got[5]["spans"]] == ["en", "fr"] and t[got[5]["spans"][1]["start"] :].startswith("le que") and got[None]["lang_pred"] == "en"
     assert langid.identify(odd, model).count() == len(ODD) and langid.identify(none, model).count() == 0
     assert langid.fit(none.withColumn("lang", F.lit("en"))) is None and {r["lang_pred"] for r in langid.identify(odd, None).collect()} == {"und"}
+
+
+def test_languages_same_as_brute_force(spark, sf, docs):
+    """The whole query: counts, scores of words, a full Viterbi search, and votes by letters."""
+    import zlib
+
+    got = {r["doc_id"]: r for r in langid.op10_language_id(spark, sf).collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 3 == 1 for i in docs}
+    want = brute.languages({i: r["text"] for i, r in docs.items()}, {i: r["lang"] for i, r in docs.items() if not held[i] and r["lang"] is not None})
+    assert {i: (r["held_out"], r["lang_pred"]) for i, r in got.items()} == {i: (held[i], w[0]) for i, w in want.items()}
+    assert all(abs(got[i]["score"] - w[1]) < 1e-6 for i, w in want.items())
+
+
+def test_many_languages(spark):
+    """More languages than a byte can number, and than the table of scores has room for at full width."""
+    rng = np.random.default_rng(0)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6))
+    own = {f"l{i:03d}": [word() for _ in range(12)] for i in range(300)}
+    rows = [(i * 10 + j, " ".join(rng.choice(own[v], 40)), v) for i, v in enumerate(own) for j in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for cells in (langid.MOST_CELLS, 300 * 16384):
+        langid.MOST_CELLS, before = cells, langid.MOST_CELLS
+        try:
+            model = langid.fit(df)
+        finally:
+            langid.MOST_CELLS = before
+        got = langid.identify(df, model).join(df.select("doc_id", "lang"), "doc_id")
+        assert len(model.langs) == 300 and model.table.size <= cells and got.filter("lang = lang_pred").count() > 590
+
+
+def test_sample_is_bounded_by_a_hot_key(spark):
+    from vacatia.llm.common import bounded_sample
+
+    df = spark.createDataFrame([(1, f"hot {i}") for i in range(500)] + [(i, "x") for i in range(2, 300)], DOC)
+    for most in (1, 50, 400, 10_000):
+        assert bounded_sample(df, most, 3, "doc_id", "text").count() == min(most, 798)

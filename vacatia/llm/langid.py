@@ -5,12 +5,15 @@ scores the word by the log probabilities of its byte trigrams, word edges includ
 a penalty for each switch, labels spans; a text in which no stretch of words favours another language by more than the
 penalty needs no search, because there one language throughout is the best path. The language of most letters wins.
 
-The model is fitted on a sample of at most MOST_ROWS rows (a parameter), by the order of a hash of their ids.
+The model is fitted on a sample of at most MOST_ROWS rows (a parameter), by the order of a hash of their ids. So there are at
+most as many languages; trigrams share BUCKETS places, and fewer where many languages would make the table of scores larger
+than MOST_CELLS. Texts are scored in slices whose words times languages are bounded (one text at least).
 
 Cases: null texts and texts without a letter are `und` with score 0; words without letters fit every language; letters of
 a script that no language was learnt in make spans of `und`, and a text of only such gets the most frequent language
 with score 0; null ids count as held out; repeated rows keep a row each; without anything to learn from all rows are
-`und`; an empty table gives an empty result; extra columns are not read.
+`und`; of languages that are equally good for a word or a text the first by name counts; an empty table gives an empty result;
+extra columns are not read.
 """
 
 from __future__ import annotations
@@ -24,14 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacatia.llm.common import LOWER, NON_WORD, Words, slices, table, text_buffers
+from vacatia.llm.common import LOWER, NON_WORD, SLICE_BYTES, Words, bounded_sample, slices, table, text_buffers
 from vacatia.llm.toxicity import held_out
 
 MOST_ROWS = 20_000
 SWITCH = 14.0
 #: Least share of a language's letters in a script for it to be a candidate there.
 LEAST_SHARE = 0.01
-BUCKETS = 1 << 16
+BUCKETS, MOST_CELLS = 1 << 16, 1 << 26
+#: Scores (words times languages) of a slice.
+MOST_SCORES = 1 << 24
 _FAR = -60.0
 
 # First code points of script ranges; letters outside the named ones are "other".
@@ -118,6 +123,7 @@ class Model:
         if not n:
             return out
         codes, first = trigrams(p.words)
+        codes >>= np.uint32(16 - int(self.table.shape[1]).bit_length() + 1)
         for i, row in enumerate(self.table):
             out[:, i] = np.add.reduceat(row[codes], first)
         out[:, :-1] -= out[:, :-1].max(axis=1, keepdims=True)
@@ -136,36 +142,31 @@ class Model:
         gain[0] += start - start[best]
         c = np.concatenate([np.zeros((1, gain.shape[1])), np.cumsum(gain, axis=0)])
         if ((c - np.minimum.accumulate(c, axis=0)).max(axis=0) <= SWITCH).all():
-            return np.full(len(s), best, np.int8)
+            return np.full(len(s), best, np.int32)
         return viterbi(s, start)
 
 
 def viterbi(s: np.ndarray, start: np.ndarray, switch: float = SWITCH) -> np.ndarray:
+    """The best states of n words (scores n x k): staying is free, any switch costs the same; of equal ones the first state."""
     n, k = s.shape
-    back = np.empty((n, k), np.int8)
-    own = list(range(k))
-    v = [float(a + b) for a, b in zip(s[0], start, strict=True)]
-    for t, row in enumerate(s[1:].tolist(), 1):
-        m = max(v)
-        top = v.index(m)
-        m -= switch
-        back[t] = [i if v[i] >= m else top for i in own]
-        v = [(x if x >= m else m) + y for x, y in zip(v, row, strict=True)]
-    out = np.empty(n, np.int8)
-    out[-1] = int(np.argmax(v))
+    stays, tops = np.empty((n, k), bool), np.empty(n, np.int32)
+    v = s[0] + start.astype(float)
+    for t in range(1, n):
+        tops[t] = top = int(v.argmax())
+        from_top = v[top] - switch
+        stays[t] = v >= from_top
+        v = np.where(stays[t], v, from_top) + s[t]
+    out = np.empty(n, np.int32)
+    out[-1] = int(v.argmax())
     for t in range(n - 1, 0, -1):
-        out[t - 1] = back[t, out[t]]
+        out[t - 1] = out[t] if stays[t, out[t]] else tops[t]
     return out
 
 
 def fit(docs: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc_id", most: int = MOST_ROWS) -> Model | None:
     """The model from at most `most` rows; docs must hold only rows to learn from. None without any."""
-    some = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key), F.lit(10)).alias("_order"), F.col(key).alias("_key"))
-    # only hashes and ids are sorted for the bound; texts of the rows up to it are read after
-    edge = some.select("_order", "_key").orderBy("_order", "_key").limit(most).agg(F.max(F.struct("_order", "_key"))).first()[0]
-    if edge is None:
-        return None
-    few = some.filter((F.col("_order") < edge[0]) | ((F.col("_order") == edge[0]) & (F.col("_key") <= edge[1])))
+    some = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).alias("_key"))
+    few = bounded_sample(some, most, 10, "_key", "text")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -189,14 +190,17 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc
                     )
 
     counts = few.select("lang", "text").mapInArrow(counted, "lang string, at long, n long").groupBy("lang", "at").agg(F.sum("n").alias("n"))
-    rows = counts.collect()  # at most BUCKETS for each language
+    rows = counts.collect()  # of at most MOST_ROWS texts, and at most BUCKETS for each language
     langs = sorted({r["lang"] for r in rows})
     if not langs:
         return None
-    n = np.zeros((len(langs), BUCKETS + len(NAMES) + 1))
+    place = {x: i for i, x in enumerate(langs)}
+    n = np.zeros((len(langs), BUCKETS + len(NAMES) + 1), np.float32)
     for r in rows:
-        n[langs.index(r["lang"]), r["at"]] = r["n"]
+        n[place[r["lang"]], r["at"]] = r["n"]
     grams, scripts, texts = n[:, :BUCKETS], n[:, BUCKETS:-1], n[:, -1]
+    while grams.size > MOST_CELLS and grams.shape[1] > 256:
+        grams = grams[:, ::2] + grams[:, 1::2]
     used = max(1, int(grams.any(axis=0).sum()))
     log = np.log((grams + 0.2) / (grams.sum(axis=1, keepdims=True) + 0.2 * used))
     share = scripts / np.maximum(scripts.sum(axis=1, keepdims=True), 1)
@@ -218,7 +222,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", key: str
         und = len(m.langs)
         for b in batches:
             data, off = text_buffers(b.column("text"))
-            for i, j in slices(off):
+            for i, j in slices(off, min(SLICE_BYTES, max(4096, MOST_SCORES // (und + 1)))):
                 p = Parsed(data, off[i : j + 1])
                 w, s = p.words, m.word_scores(p)
                 char = np.concatenate([[0], np.cumsum((p.raw & 0xC0) != 0x80)])

@@ -3,23 +3,33 @@
 Each rule's regex is parsed into a Boolean trigram query: an OR of ANDs of trigrams (lower case) that every match must
 hold. The index lists, for each trigram that some rule asks for, the rows that hold it. Postings of a query's trigrams
 are intersected by counting them per row; only candidates are verified with the regex. A rule without mandatory
-trigrams scans every row.
+trigrams scans every row. Up to MOST_SENT candidates (counted) are sent to the texts; beyond, both are dealt by id.
 
-Cases: a null or empty text has no spans; null or repeated ids keep a row each (verification runs per row, so postings
-that rows of one id share only add candidates); an empty table gives an empty result; extra columns are not read.
+Cases: a null or empty text has no spans; rows with a null id are scanned in full, since postings can't tell them apart; rows
+that repeat an id keep a row each (verification runs per row, so postings that rows of one id share only add candidates), and
+an id with a third of all rows is several tasks; a very long text is verified as any other, in time that grows with its
+length; an empty table gives an empty result; extra columns are not read.
 Positions are code points, ends exclusive; matches of one rule are leftmost and do not overlap.
 """
 
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacatia.llm.common import table
+from vacatia.llm.common import SALTS, materialize, table
+
+#: Candidates up to so many rows (counted) are broadcast.
+MOST_SENT = 200_000
+#: Matches that one array takes up at a time.
+RUN = 256
+#: Characters that Unicode keeps free for use within a program.
+MARKS = "\ufdd0\ufdd1\ufdd2"
 
 
 @dataclass(frozen=True)
@@ -118,43 +128,72 @@ def candidates(postings: DataFrame, rules: tuple[Rule, ...], key: str) -> DataFr
     return held.select(key, F.array_compact(F.array(*met)).alias("kinds")).filter(F.size("kinds") > 0)
 
 
+def _prefix(values: Column, zero: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """Of an array, for each place what step makes of zero and all values before; in runs of RUN, so that no array grows by
+    one element as often as a text has matches."""
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.size(values) - 1) / RUN), F.lit(0)).cast("int")), lambda c: F.slice(values, c * RUN + 1, F.lit(RUN)))
+    more = lambda acc, x: F.concat(acc, F.array(step(F.element_at(acc, -1), x)))
+    starts = F.aggregate(runs, F.array(zero), lambda acc, r: F.concat(acc, F.array(F.aggregate(r, F.element_at(acc, -1), step))))
+    return F.flatten(F.transform(runs, lambda r, i: F.slice(F.aggregate(r, F.array(F.get(starts, i)), more), 1, F.size(r))))
+
+
 def _spans(text: Column, rule: Rule, rank: int) -> Column:
-    """array<struct<start, rank, end, kind>> of a rule's matches; start and end from the lengths of the parts between them."""
+    """array<struct<start, rank, end, kind>> of a rule's matches: one pass of the regex puts marks around each match and its
+    tested part, and the lengths between marks give the places. Texts that hold a mark themselves take the plain way."""
+    a, b, c = MARKS
     pattern = F.lit(rule.pattern)
+    pieces = F.split(F.regexp_replace(text, pattern, F.lit(f"{a}$0{b}" + (f"${rule.group}" if rule.group else "") + c)), a)
+    at = lambda p, mark: F.instr(p, mark)
+    marked = F.transform(
+        F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))),
+        lambda p: F.struct(
+            (at(p, b) - 1).alias("len"),
+            ((at(p, c) - at(p, b) - 1) if rule.group else (at(p, b) - 1)).alias("tested"),
+            (at(p, b) - 1 + F.length(p) - at(p, c)).alias("step"),  # the match and what follows it
+        ),
+    )
     found = F.regexp_extract_all(text, pattern, F.lit(0))
     tested = found if rule.group == 0 else F.regexp_extract_all(text, pattern, F.lit(rule.group))
     between = F.split(text, rule.pattern, -1)
-    parts = F.arrays_zip(F.transform(between, F.length).alias("gap"), F.transform(found, F.length).alias("len"), F.transform(tested, F.length).alias("tested"))
-    start = lambda acc, p: acc["at"] + p["gap"]
-    spans = F.aggregate(
-        parts,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>").alias("spans")),
-        lambda acc, p: F.struct(
-            (start(acc, p) + F.coalesce(p["len"], F.lit(0))).alias("at"),
-            F.when(p["tested"] >= rule.least, F.concat(acc["spans"], F.array(F.struct(start(acc, p).alias("start"), F.lit(rank).alias("rank"), (start(acc, p) + p["len"]).alias("end"), F.lit(rule.kind).alias("kind"))))).otherwise(acc["spans"]).alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
-    return F.when(F.size(found) > 0, spans)
+    plain = F.transform(F.arrays_zip(found.alias("f"), tested.alias("t"), F.slice(between, 2, F.size(found)).alias("g")), lambda p: F.struct(F.length(p["f"]).alias("len"), F.length(p["t"]).alias("tested"), (F.length(p["f"]) + F.length(p["g"])).alias("step")))
+    odd = text.rlike(f"[{a}{b}{c}]")
+    first = F.when(odd, F.length(F.get(between, F.lit(0)))).otherwise(F.length(F.get(pieces, F.lit(0))))
+    parts = F.when(odd, plain).otherwise(marked)
 
+    def placed(x: Column) -> Column:
+        starts = _prefix(F.transform(x["parts"], lambda p: p["step"]), x["first"], lambda u, v: u + v)
+        both = F.filter(F.zip_with(starts, x["parts"], lambda s, p: F.struct(s.alias("s"), p.alias("p"))), lambda z: z["p"]["tested"] >= rule.least)
+        return F.transform(both, lambda z: F.struct(z["s"].alias("start"), F.lit(rank).alias("rank"), (z["s"] + z["p"]["len"]).alias("end"), F.lit(rule.kind).alias("kind")))
 
-def _scanned(docs: DataFrame, rules: tuple[Rule, ...], text: str, key: str) -> DataFrame:
-    """(row: all columns of docs, text, spans). A row's own columns stand in a struct, so no name can clash.
+    # worked out once a row
+    return F.get(F.transform(F.array(F.struct(first.alias("first"), parts.alias("parts"))), lambda x: F.when(F.size(x["parts"]) > 0, placed(x))), F.lit(0))
+
+
+def _with_kinds(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows (row, text, key) with the kinds that found (found, kinds) has for their key; rows without a key: all kinds."""
+    found = materialize(found, "candidates")
+    if found.count() <= MOST_SENT:
+        return rows.join(F.broadcast(found), F.col("key") == F.col("found"), "left")
+    salt = F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int")
+    spread = found.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s"))
+    keyed = rows.filter("key is not null").withColumn("_salt", salt).join(spread, (F.col("key") == F.col("found")) & (F.col("_salt") == F.col("_s")), "left").drop("_salt", "_s")
+    return keyed.unionByName(rows.filter("key is null"), allowMissingColumns=True)
 
-    One shuffle of the postings and one of the rows, both by key, which is spread evenly unless rows repeat an id."""
+
+def _scanned(docs: DataFrame, rules: tuple[Rule, ...], text: str, key: str) -> DataFrame:
+    """(row: all columns of docs, text, spans). A row's own columns stand in a struct, so no name can clash."""
     queried = {r.kind: trigram_query(r.pattern) for r in rules}
     asked = sorted({t for qs in queried.values() for q in qs for t in q})
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(key).alias("key"))
     if asked:
-        found = candidates(index(docs, asked, text, key), rules, key).select(F.col(key).alias("found"), "kinds")
-        rows = rows.join(found, rows["key"].eqNullSafe(found["found"]), "left")
+        rows = _with_kinds(rows, candidates(index(docs.filter(F.col(key).isNotNull()), asked, text, key), rules, key).select(F.col(key).alias("found"), "kinds"))
     else:
         rows = rows.withColumn("kinds", F.array().cast("array<string>"))
     of_rules = []
     for rank, r in enumerate(rules):
         spans = _spans(F.col("text"), r, rank)
-        of_rules.append(F.coalesce(F.when(F.array_contains("kinds", r.kind), spans) if queried[r.kind] else spans, none))
+        of_rules.append(F.coalesce(F.when(F.array_contains("kinds", r.kind) | F.col("key").isNull(), spans) if queried[r.kind] else spans, none))
     return rows.select("row", "text", F.array_sort(F.concat(*of_rules)).alias("spans"))
 
 
@@ -167,15 +206,11 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", k
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", key: str = "doc_id") -> DataFrame:
     """docs with each span of a secret replaced by [KIND]; overlapping spans are replaced once, under the first's kind."""
-    pieces = F.aggregate(
-        "spans",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.when(
-            s["start"] >= acc["at"],
-            F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("out")),
-        ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))),
-        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))),
-    )
+    past = _prefix(F.transform("spans", lambda x: x["end"]), F.lit(0), lambda u, v: F.greatest(u, v))  # where all spans before have ended
+    kept = F.filter(F.zip_with("spans", past, lambda x, e: F.struct(x.alias("x"), e.alias("e"))), lambda z: z["x"]["start"] >= z["e"])
+    parts = F.transform(kept, lambda z: F.concat(F.substring(F.col("text"), z["e"] + 1, z["x"]["start"] - z["e"]), F.lit("["), F.upper(z["x"]["kind"]), F.lit("]")))
+    last = F.array_max(F.transform("spans", lambda x: x["end"]))
+    pieces = F.concat(F.array_join(parts, ""), F.substring(F.col("text"), last + 1, F.length("text")))
     out = F.when(F.size("spans") > 0, pieces).otherwise(F.col("text"))
     return _scanned(docs, rules, text, key).select(*[out.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])
 

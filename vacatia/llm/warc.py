@@ -5,9 +5,9 @@ FAN ids of the level below, so a node is also an ordered range of offsets: it ho
 digests and the sum of their sizes. The replicas' roots are compared first; only the children of differing nodes are
 looked at on the next level, down to the records. Offsets come from the sizes of the siblings before a node.
 
-Cases: null url or html is empty; null ids are one leaf before all others; rows that repeat an id are one leaf, the
-digest of their sorted distinct digests and counts; two empty replicas, or equal ones, give an empty result; extra columns
-are not read.
+Cases: null url or html is empty; null ids are one leaf before all others; rows that repeat an id are one leaf, with a digest
+of them all; ids may lie as far apart as they can; two empty replicas, or equal ones, give an empty result; a very long page
+is one record, hashed where it lies; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vacatia.llm.common import materialize, table
+from vacatia.llm.common import discard, materialize, table
 
 FAN_BITS = 4  # 16 children a node
 
@@ -32,23 +32,27 @@ def record(key: str = "page_id", url: str = "url", html: str = "html") -> Column
 
 
 def leaves(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(id, digest, size) of each page id; id is null for null ids."""
+    """(id, digest, size) of each page id; id is null for null ids.
+
+    Several records of an id count by the sums of their digests' quarters, which no order changes and which combine before the
+    shuffle, so an id with a third of all records is a few numbers a task."""
     rows = pages.select(F.col(key).cast("long").alias("id"), record(key, url, html).alias("r")).select("id", F.sha2(F.col("r").cast("binary"), 256).alias("digest"), F.octet_length("r").cast("long").alias("size"))
-    once = rows.groupBy("id", "digest").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
-    several = F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "digest", "n"))), ",").cast("binary"), 256)
-    return once.groupBy("id").agg(F.when((F.count("*") == 1) & (F.max("n") == 1), F.max("digest")).otherwise(several).alias("digest"), F.sum("size").alias("size"))
+    quarters = [F.sum(F.conv(F.substring("digest", 16 * i + 1, 16), 16, 10).cast("decimal(38,0)")) for i in range(4)]
+    g = rows.groupBy("id").agg(F.count("*").alias("n"), F.max("digest").alias("one"), F.sha2(F.concat_ws(":", F.count("*"), *quarters).cast("binary"), 256).alias("several"), F.sum("size").alias("size"))
+    return g.select("id", F.when(F.col("n") == 1, F.col("one")).otherwise(F.col("several")).alias("digest"), "size")
 
 
-def tree(records: DataFrame, base: int, levels: int) -> list[DataFrame]:
-    """Tables (node, digest, size) of each level, the leaves first. Nodes count from base; null ids are node 0."""
-    level = materialize(records.select(F.coalesce(F.col("id") - F.lit(base) + 1, F.lit(0)).cast("long").alias("node"), "digest", "size"), "leaves")
+def tree(primary: DataFrame, replica: DataFrame, levels: int) -> list[DataFrame]:
+    """Tables (side, lane, node, digest, size) of each level, the leaves first. Null ids are lane 0, others lane 1; a node
+    covers the ids that are equal but for the last FAN_BITS bits a level, and the last level has one node."""
+    sides = [x.select(F.lit(side).alias("side"), F.col("id").isNotNull().cast("int").alias("lane"), F.coalesce("id", F.lit(0)).alias("node"), "digest", "size") for side, x in enumerate((primary, replica))]
+    level = materialize(sides[0].union(sides[1]), "leaves")
     out = [level]
-    for _ in range(levels):
-        child = F.struct("node", "digest")
-        up = level.groupBy(F.shiftright("node", FAN_BITS).alias("up")).agg(
-            F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(child)), lambda c: F.concat_ws(":", c["node"], c["digest"])), ",").cast("binary"), 256).alias("digest"), F.sum("size").alias("size")
-        )
-        level = materialize(up.withColumnRenamed("up", "node"), "level")
+    for n in range(1, levels + 1):
+        up = F.shiftright("node", FAN_BITS) if n < levels else F.lit(0).cast("long")
+        children = F.array_sort(F.collect_list(F.struct("node", "digest")))  # at most 16
+        text = F.array_join(F.transform(children, lambda c: F.concat_ws(":", c["node"], c["digest"])), ",")
+        level = materialize(level.groupBy("side", "lane", up.alias("up")).agg(F.sha2(text.cast("binary"), 256).alias("digest"), F.sum("size").alias("size")).withColumnRenamed("up", "node"), "level")
         out.append(level)
     return out
 
@@ -57,35 +61,40 @@ def audit(primary: DataFrame, replica: DataFrame, key: str = "page_id", url: str
     """(key, status, offset_start, offset_end, digest_primary, digest_replica) of every record that differs.
 
     status: corrupt, missing (from the replica) or extra (in it alone); offsets are of the primary, -1 for extra; a digest is empty where there is no record."""
-    sides = [leaves(x, key, url, html) for x in (primary, replica)]
+    sides = [materialize(leaves(x, key, url, html), "records") for x in (primary, replica)]
     lo, hi = sides[0].select("id").union(sides[1].select("id")).agg(F.min("id"), F.max("id")).first()
-    base = lo if lo is not None else 0
-    span = (hi - lo + 2) if lo is not None else 1
     levels = 1
-    while span > 1 << FAN_BITS * levels:
+    while lo is not None and lo >> FAN_BITS * levels != hi >> FAN_BITS * levels and FAN_BITS * levels < 64:
         levels += 1
-    a, b = (tree(x, base, levels) for x in sides)
+    nodes = tree(*sides, levels)
 
     differ = None
     for depth in range(levels, -1, -1):
-        both = a[depth].select("node", F.struct("digest", "size").alias("a"), F.lit(None).cast("struct<digest:string,size:bigint>").alias("b")).union(
-            b[depth].select("node", F.lit(None).cast("struct<digest:string,size:bigint>"), F.struct("digest", "size"))
-        )
+        up = F.lit(0).cast("long") if depth >= levels - 1 else F.shiftright("node", FAN_BITS)
+        at = nodes[depth].withColumn("up", up)
         if differ is None:
-            both = both.withColumn("up", F.lit(0).cast("long")).withColumn("before", F.lit(0).cast("long"))
+            at = at.withColumn("before", F.lit(0).cast("long"))
+            above = "up"  # both lanes lie below one root
         else:
-            above = differ.select(F.col("node").alias("up"), F.col("start").alias("before"))
-            both = both.withColumn("up", F.shiftright("node", FAN_BITS)).join(above, "up")
-        pairs = both.groupBy("up", "node").agg(F.first("a", True).alias("a"), F.first("b", True).alias("b"), F.max("before").alias("before"))
+            at = at.join(differ.select("lane", F.col("node").alias("up"), F.col("start").alias("before")), ["lane", "up"])
+            above = "lane"
+        of = lambda side: F.max(F.when(F.col("side") == side, F.struct("digest", "size")))
+        pairs = at.groupBy("lane", "up", "node").agg(of(0).alias("a"), of(1).alias("b"), F.max("before").alias("before"))
         size = F.coalesce(F.col("a.size"), F.lit(0))
-        past = F.coalesce(F.sum(size).over(W.partitionBy("up").orderBy("node").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # at most 16 rows
-        differ = materialize(pairs.withColumn("start", F.col("before") + past).filter(~F.col("a.digest").eqNullSafe(F.col("b.digest"))).select("node", "a", "b", "start"), "differ")
+        siblings = W.partitionBy(*dict.fromkeys([above, "up"])).orderBy("lane", "node").rowsBetween(W.unboundedPreceding, -1)  # at most 16 rows
+        past = F.coalesce(F.sum(size).over(siblings), F.lit(0))
+        below = materialize(pairs.withColumn("start", F.col("before") + past).filter(~F.col("a.digest").eqNullSafe(F.col("b.digest"))).select("lane", "node", "a", "b", "start"), "differ")
+        if differ is not None:
+            discard(differ)
+        differ = below
         if differ.isEmpty():
             break
+    for used in (*sides, *nodes):
+        discard(used)
     status = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("corrupt")
     kind = dict(primary.dtypes)[key]
     return differ.select(
-        F.when(F.col("node") > 0, F.col("node") + F.lit(base) - 1).cast(kind).alias(key),
+        F.when(F.col("lane") == 1, F.col("node")).cast(kind).alias(key),
         status.alias("status"),
         F.when(F.col("a").isNotNull(), F.col("start")).otherwise(-1).alias("offset_start"),
         F.when(F.col("a").isNotNull(), F.col("start") + F.col("a.size")).otherwise(-1).alias("offset_end"),
