@@ -51,26 +51,26 @@ class Lists:
         self.width = self.blocks * BLOCK
         self.may = self.size * dense > n
         self.at = np.cumsum(self.may) - 1
-        held = np.repeat(self.may, self.size)
         self.exact = np.zeros((int(self.may.sum()), self.width))
-        self.exact[np.repeat(self.at, self.size)[held], row[held]] = weight[held]
+        for t in np.flatnonzero(self.may).tolist():
+            self.exact[self.at[t], row[first[t] : first[t + 1]]] = weight[first[t] : first[t + 1]]
         self.rough = self.exact.astype(np.float32)
         self.maxima = self.rough.reshape(len(self.rough), self.blocks, BLOCK).max(axis=2)
         widths = list(WIDTHS)
         while widths[-1] < self.size.max(initial=1):
             widths.append(2 * widths[-1])
-        self.table = np.searchsorted(widths, self.size)
+        self.table = np.searchsorted(widths, self.size).astype(np.uint8)
         self.place = np.zeros(len(self.size), np.int64)
         self.tables = []
-        within = np.arange(len(row)) - np.repeat(first[:-1], self.size)
-        of_posting = np.repeat(self.table, self.size)
-        for k, w in enumerate(widths):
+        for k, w in enumerate(widths):  # one width after the other, so that what it takes stays small
             lists = np.flatnonzero(self.table == k)
             self.place[lists] = np.arange(len(lists))
-            rows, weights = np.zeros((len(lists), w), np.int64), np.zeros((len(lists), w))
-            some = np.flatnonzero(of_posting == k)
-            at = np.repeat(np.arange(len(lists)), self.size[lists]), within[some]
-            rows[at], weights[at] = row[some], weight[some]
+            rows, weights = np.zeros((len(lists), w), np.uint16 if n <= 1 << 16 else np.int64), np.zeros((len(lists), w))
+            size = self.size[lists]
+            past = np.cumsum(size) - size
+            within = np.arange(int(size.sum())) - np.repeat(past, size)
+            post, at = np.repeat(first[lists], size) + within, (np.repeat(np.arange(len(lists)), size), within)
+            rows[at], weights[at] = row[post], weight[post]
             self.tables.append((rows, weights))
 
 
@@ -173,9 +173,8 @@ def _walked(s: Lists, of: np.ndarray, term: np.ndarray, times: np.ndarray | None
                 at = s.place[t[own]]
                 end = past + (y - x) * rows.shape[1]
                 c, v = cells[past:end].reshape(y - x, -1), weights[past:end].reshape(y - x, -1)
-                np.take(rows, at, axis=0, out=c, mode="clip")
+                np.add(rows[at], offset[own, None], out=c)
                 np.take(values, at, axis=0, out=v, mode="clip")
-                c += offset[own, None]
                 if times is not None:
                     v *= times[some][own, None]
                 past = end

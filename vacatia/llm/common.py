@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import json
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass handles; bounds a Python worker's memory (a longer document is a pass of its own).
 SLICE_BYTES = 1 << 20
 
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+#: Rows of an Arrow batch: some MB of text, in the JVM and in the worker.
+ROWS_A_BATCH = 1000
 _ASCII_SPACE = (9, 10, 11, 12, 13, 32)
 
 
@@ -62,6 +70,54 @@ def bounded_sample(df: DataFrame, most: int, seed: int, key: str, tie: str) -> D
     return below.union(df.filter(order == edge).orderBy(F.xxhash64(tie), tie).limit(most - below.count()))
 
 
+def share(spark: SparkSession, name: str, arrays: dict[str, np.ndarray]) -> str:
+    """Write arrays to a file of the shared folder and have Spark hand it to all executors, whose workers map it: one copy
+    in the page cache of a machine, none in the workers. Gives the file's name for shared()."""
+    file = f"{name}-{uuid.uuid4().hex}.bin"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{work_dir(spark)}/vacatia/{file}")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    head = json.dumps([(k, x.dtype.str, len(x)) for k, x in arrays.items()]).encode()
+    head = head.ljust(-(-(len(head) + 8) // 8) * 8 - 8)
+    parts = [len(head).to_bytes(8, "little"), head, *(memoryview(np.ascontiguousarray(x)).cast("B") for x in arrays.values() if len(x))]
+    for part in parts:
+        for i in range(0, len(part), 8 << 20):
+            out.write(bytearray(part[i : i + (8 << 20)]))
+    out.close()
+    spark.sparkContext.addFile(path.toString())
+    return file
+
+
+def shared(file: str) -> dict[str, np.ndarray]:
+    """The arrays of share(), mapped, in a task."""
+    path = SparkFiles.get(file)
+    with open(path, "rb") as f:
+        size = int.from_bytes(f.read(8), "little")
+        head = json.loads(f.read(size))
+    at, out = 8 + size, {}
+    for k, kind, n in head:
+        out[k] = np.memmap(path, np.dtype(kind), "r", at, (n,)) if n else np.zeros(0, np.dtype(kind))
+        at += n * np.dtype(kind).itemsize
+    return out
+
+
+def trim() -> None:
+    """Give freed memory back to the system: idle workers wait for other stages, beside those that run."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def lean(run: Batches) -> Batches:
+    """run, a function for mapInArrow, that gives back its memory when it is done."""
+
+    def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        trim()
+
+    return out
+
+
 #: Parts that a group's rows are dealt into where a group may hold a third of all rows.
 SALTS = 16
 
@@ -83,7 +139,10 @@ def with_group(rows: DataFrame, key: str, by: str, keep: str = "true", **of: tup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """spread: deal the rows out where the files give fewer tasks than there are cores (one small file); else as they lie."""
+    """A table of the folder; from here on the session hands texts to Python in batches of ROWS_A_BATCH.
+
+    spread: deal the rows out where the files give fewer tasks than there are cores (one small file); else as they lie."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_A_BATCH))
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
     return df.repartition(cores) if spread and 2 * df.rdd.getNumPartitions() <= cores else df

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacatia.llm.common import NON_WORD, Words, mix, slices, table, text_buffers
+from vacatia.llm.common import NON_WORD, Words, lean, mix, slices, table, text_buffers
 
 MIN_TILE = 4
 COVERAGE = 0.5
@@ -256,7 +256,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", key:
                         of = pa.array([s.ids[x] for x in items])
                         yield pa.RecordBatch.from_arrays([ids, of, pa.array(n, pa.int32()), pa.array(tokens, pa.int32()), pa.array(sizes, pa.int32()), pa.array(tokens / sizes)], [key, item, "n_tiles", "tokens", "item_tokens", "coverage"])
 
-        one = docs.select(key, F.col(text).alias("text")).mapInArrow(run, schema)
+        one = docs.select(key, F.col(text).alias("text")).mapInArrow(lean(run), schema)
         out = one if out is None else out.union(one)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
@@ -276,7 +276,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
                         keep[i + row] = False
                 yield b.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(lean(run), docs.schema)
     return docs
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacatia.llm.common import LOWER, NON_WORD, SLICE_BYTES, Words, bounded_sample, slices, table, text_buffers
+from vacatia.llm.common import LOWER, NON_WORD, SLICE_BYTES, Words, bounded_sample, lean, slices, table, text_buffers
 from vacatia.llm.toxicity import held_out
 
 MOST_ROWS = 20_000
@@ -189,7 +189,7 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc
                         ["lang", "at", "n"],
                     )
 
-    counts = few.select("lang", "text").mapInArrow(counted, "lang string, at long, n long").groupBy("lang", "at").agg(F.sum("n").alias("n"))
+    counts = few.select("lang", "text").mapInArrow(lean(counted), "lang string, at long, n long").groupBy("lang", "at").agg(F.sum("n").alias("n"))
     rows = counts.collect()  # of at most MOST_ROWS texts, and at most BUCKETS for each language
     langs = sorted({r["lang"] for r in rows})
     if not langs:
@@ -246,7 +246,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", key: str
                     spans[r] = [{"lang": names[states[x]], "start": int(char[w.start[a + x]] - base), "end": int(char[w.end[a + y - 1]] - base)} for x, y in zip(cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(key).slice(i, j - i), pa.array(langs), pa.array(scores), pa.array(spans, fields)], [key, "lang_pred", "score", "spans"])
 
-    return docs.select(key, F.col(text).alias("text")).mapInArrow(run, f"`{key}` {kind}, lang_pred string, score double, spans {spans_type}")
+    return docs.select(key, F.col(text).alias("text")).mapInArrow(lean(run), f"`{key}` {kind}, lang_pred string, score double, spans {spans_type}")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacatia.llm.common import SPACE, Words, discard, distinct_per_row, join_spread, materialize, mix, slices, table, text_buffers, with_group
+from vacatia.llm.common import SPACE, Words, discard, distinct_per_row, join_spread, lean, materialize, mix, slices, table, text_buffers, with_group
 
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
@@ -129,7 +129,7 @@ def signatures(docs: DataFrame, k: int, text: str, key: str) -> DataFrame:
                 sig = pa.FixedSizeBinaryArray.from_buffers(pa.binary(HASHES), j - i, [None, pa.py_buffer(m.astype(np.uint8).tobytes())]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(n), pa.array(cls, pa.binary()), bands, sig], ["id", "n", "class", "bands", "sig"])
 
-    return docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, f"id {dict(docs.dtypes)[key]}, n long, class binary, bands array<long>, sig binary")
+    return docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(lean(run), f"id {dict(docs.dtypes)[key]}, n long, class binary, bands array<long>, sig binary")
 
 
 def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int, text: str, key: str) -> DataFrame:
@@ -147,7 +147,7 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int, text:
     few = materialize(classes.join(wanted, classes["vertex"] == wanted["id"]).select(F.col("least").alias("_key"), F.col("vertex").alias("id"), "class"), "wanted")
     sent = F.broadcast(few) if few.count() <= MOST_SENT else few
     some = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("text")).join(sent, "_key").select("id", "class", "text")
-    out = materialize(some.mapInArrow(run, "id long, set binary").dropDuplicates(["id"]), "sets")
+    out = materialize(some.mapInArrow(lean(run), "id long, set binary").dropDuplicates(["id"]), "sets")
     discard(few)
     return out
 
@@ -168,7 +168,7 @@ def _likely(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
             ok = (m[0] == m[1]).mean(axis=1) >= least - MARGIN
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], ["a", "b"]).filter(pa.array(ok))
 
-    return materialize(_with_both(pairs, sigs, "sig").mapInArrow(near, "a long, b long"), "likely")
+    return materialize(_with_both(pairs, sigs, "sig").mapInArrow(lean(near), "a long, b long"), "likely")
 
 
 def _confirmed(likely: DataFrame, sets: DataFrame, least: int, of: int) -> DataFrame:
@@ -186,7 +186,7 @@ def _confirmed(likely: DataFrame, sets: DataFrame, least: int, of: int) -> DataF
                 ok.append(of * both >= least * (len(u) + len(v) - both))
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return materialize(_with_both(likely, sets, "set").mapInArrow(same, "a long, b long"), "links")
+    return materialize(_with_both(likely, sets, "set").mapInArrow(lean(same), "a long, b long"), "links")
 
 
 def _vertices(pairs: DataFrame) -> DataFrame:

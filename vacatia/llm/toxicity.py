@@ -28,14 +28,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacatia.llm.blockmax import GROUP, Lists, best_rows, one_thread
-from vacatia.llm.common import NON_WORD, Words, discard, distinct_per_row, hash_spans, materialize, slices, table, text_buffers
+from vacatia.llm.common import NON_WORD, Words, discard, distinct_per_row, hash_spans, lean, materialize, share, shared, slices, table, text_buffers
 
 PREFIXES = (5, 7)
 #: Bound of the sample of labelled rows, by the order of a hash of their ids.
 MOST_EXAMPLES = 8192
 NEIGHBOURS = 25
 #: A list of more than one example in DENSE may be dense (blockmax.py).
-DENSE = 16
+DENSE = 12
 BUCKET_BITS = 20
 THRESHOLD = 0.3
 
@@ -84,28 +84,29 @@ def _buckets(vocabulary: np.ndarray) -> np.ndarray:
 class Index:
     """The examples' vectors as posting lists over their places in the order of ids, and what a vote needs."""
 
-    def __init__(self, vocabulary: np.ndarray, idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, held: np.ndarray, first: np.ndarray, row: np.ndarray, weight: np.ndarray):
-        self.vocabulary, self.idf, self.ids, self.labels, self.held = vocabulary, idf, ids, labels, held  # idf: with the factor of telling terms
-        self.first, self.row, self.weight = first, row, weight
-        self.prior = float(labels.mean())
+    def __init__(self, spark: SparkSession, ids: np.ndarray, labels: np.ndarray, arrays: dict[str, np.ndarray]):
+        """arrays: vocabulary, idf (with the factor of telling terms), held (examples of a term), first, row and weight of the lists."""
+        self.ids, self.labels, self.prior = ids, labels, float(labels.mean())
         self.steps = np.array([0.0, 1.0]), np.array([0.0, 1.0])
-        self._ready: tuple[Lists, np.ndarray] | None = None
+        self.file = share(spark, "examples", arrays)
+        self._ready: tuple[dict[str, np.ndarray], Lists, np.ndarray] | None = None
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_ready": None}
 
-    def ready(self) -> tuple[Lists, np.ndarray]:
-        """The lists and the buckets of the vocabulary; made once a process."""
+    def ready(self) -> tuple[dict[str, np.ndarray], Lists, np.ndarray]:
+        """The mapped arrays, the lists and the buckets of the vocabulary; made once a process, and gone with the broadcast index."""
         if self._ready is None:
             one_thread()
-            self._ready = Lists(len(self.ids), self.first, self.row.astype(np.int64), self.weight, DENSE), _buckets(self.vocabulary)
+            x = shared(self.file)
+            self._ready = x, Lists(len(self.ids), x["first"], x["row"], x["weight"], DENSE), _buckets(x["vocabulary"])
         return self._ready
 
     def nearest(self, v: Vectors, k: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples to each row of v, -1 where there are fewer; own: an example that is left out."""
         n, k = len(v.first) - 1, min(k, len(self.ids))
         who, cosine = np.full((n, k), -1), np.full((n, k), -1.0)
-        lists, _ = self.ready()
+        _, lists, _ = self.ready()
         more = k if own is None else min(k + 1, len(self.ids))
         for a in range(0, n, GROUP):
             z = min(a + GROUP, n)
@@ -130,14 +131,15 @@ class Index:
     def calibrated(self, votes: np.ndarray) -> np.ndarray:
         return np.clip(0.98 * np.interp(votes, *self.steps) + 0.02 * votes, 0, 1)  # the vote itself orders what is level
 
-    def vectors_of(self, data: np.ndarray, offsets: np.ndarray, shared: bool = False) -> Vectors:
-        """Of a slice of texts; shared: of terms that several examples hold."""
+    def vectors_of(self, data: np.ndarray, offsets: np.ndarray, by_several: bool = False) -> Vectors:
+        """Of a slice of texts; by_several: only of terms that several examples hold."""
+        x, _, buckets = self.ready()
         rows, h, n = _terms(data, offsets)
-        row, term, tf = counted(*_known(rows, h, self.vocabulary, self.ready()[1]), len(self.vocabulary))
-        if shared:
-            some = self.held[term] > 1
+        row, term, tf = counted(*_known(rows, h, x["vocabulary"], buckets), len(x["vocabulary"]))
+        if by_several:
+            some = x["held"][term] > 1
             row, term, tf = row[some], term[some], tf[some]
-        return vectors(row, term, (1 + np.log(tf)) * self.idf[term], n)
+        return vectors(row, term, (1 + np.log(tf)) * x["idf"][term], n)
 
 
 def counted(rows: np.ndarray, at: np.ndarray, n_terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -211,7 +213,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
                 yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in (key, "label", "digest")), *lists], [key, "label", "digest", "terms", "tf"])
 
     kind = dict(examples.dtypes)[key]
-    rows = examples.orderBy(key).mapInArrow(terms_of, f"`{key}` {kind}, label int, digest long, terms array<long>, tf array<int>").toArrow()
+    rows = examples.orderBy(key).mapInArrow(lean(terms_of), f"`{key}` {kind}, label int, digest long, terms array<long>, tf array<int>").toArrow()
     if not len(rows):
         return None
     ids, y = np.array(rows.column(key).to_pylist()), np.array(rows.column("label").to_pylist(), float)
@@ -240,7 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
         held = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], held])), pa.array(np.concatenate([[n], df[held]]))], ["at", "n"])
 
-    of = docs.select(F.col(text).alias("text")).mapInArrow(frequencies, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    of = docs.select(F.col(text).alias("text")).mapInArrow(lean(frequencies), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(len(vocabulary) + 1)
     df[np.asarray(of.column("at")) + 1] = np.asarray(of.column("n"))
     idf = np.log((1 + df[0]) / (1 + df[1:])) + 1
@@ -250,23 +252,25 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     v = vectors(row, term, (1 + np.log(tf)) * idf[term], len(ids))
     held = np.bincount(term, minlength=len(vocabulary))
     by = np.argsort(term, kind="stable")
-    out = Index(vocabulary, idf, ids, y, held, np.concatenate([[0], np.cumsum(held)]), row[by], v.weight[by])
-    del v, by, row, term, tf
+    small = np.uint16 if len(ids) <= 1 << 16 else np.int64
+    arrays = {"vocabulary": vocabulary, "idf": idf, "held": held.astype(np.int32), "first": np.concatenate([[0], np.cumsum(held)]), "weight": v.weight[by], "row": row[by].astype(small)}
+    out = Index(docs.sparkSession, ids, y, arrays)
+    del v, by, row, term, tf, arrays
     place = {i: n for n, i in enumerate(ids.tolist())}
-    shared = docs.sparkSession.sparkContext.broadcast(out)
+    sent = docs.sparkSession.sparkContext.broadcast(out)  # bounded by MOST_EXAMPLES
 
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index = sent.value
         for b in batches:
             data, off = _lowered(b.column("text"))
             for i, j in slices(off):
                 own = b.column(key).slice(i, j - i)
-                who, cosine = index.nearest(index.vectors_of(data, off[i : j + 1], shared=True), NEIGHBOURS, np.searchsorted(index.ids, np.array(own.to_pylist())))
+                who, cosine = index.nearest(index.vectors_of(data, off[i : j + 1], by_several=True), NEIGHBOURS, np.searchsorted(index.ids, np.array(own.to_pylist())))
                 seen = (who >= 0).any(axis=1)
                 yield pa.RecordBatch.from_arrays([own.filter(pa.array(seen)), pa.array(index.vote(who, cosine)[seen])], [key, "vote"])
 
-    votes = examples.select(key, "text").repartition(docs.sparkSession.sparkContext.defaultParallelism).mapInArrow(left_out, f"`{key}` {kind}, vote double").collect()
-    shared.destroy()
+    votes = examples.select(key, "text").repartition(docs.sparkSession.sparkContext.defaultParallelism).mapInArrow(lean(left_out), f"`{key}` {kind}, vote double").collect()
+    sent.destroy()
     discard(examples)
     if votes:
         at = np.array([place[r[0]] for r in votes])
@@ -278,7 +282,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
 def _scored(index: Index, texts: pa.Array, evidence: bool) -> Iterator[tuple[int, np.ndarray, list[str]]]:
     """First row, scores and (if asked for) evidence of each slice of texts."""
     data, off = _lowered(texts)
-    for i, j in slices(off):
+    for i, j in slices(off, 1 << 19):
         who, cosine = index.nearest(index.vectors_of(data, off[i : j + 1]), NEIGHBOURS)
         seen = (who >= 0).any(axis=1)
         said = [""] * (j - i)
@@ -294,28 +298,28 @@ def score(docs: DataFrame, index: Index | None, text: str = "text", key: str = "
     schema = f"`{key}` {kind}, score double, evidence string"
     if index is None:
         return docs.select(key, F.lit(0.0).alias("score"), F.lit("").alias("evidence"))
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the terms of MOST_EXAMPLES texts
+    sent = docs.sparkSession.sparkContext.broadcast(index)  # bounded by MOST_EXAMPLES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, scores, evidence in _scored(shared.value, b.column("text"), True):
+            for i, scores, evidence in _scored(sent.value, b.column("text"), True):
                 yield pa.RecordBatch.from_arrays([b.column(key).slice(i, len(scores)), pa.array(scores), pa.array(evidence)], [key, "score", "evidence"])
 
-    return docs.select(key, F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(key, F.col(text).alias("text")).mapInArrow(lean(run), schema)
 
 
 def reject(docs: DataFrame, index: Index | None, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
     """docs without the rows that score the threshold or more, with all their columns."""
     if index is None:
         return docs
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    sent = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, scores, _ in _scored(shared.value, b.column(text), False):
+            for i, scores, _ in _scored(sent.value, b.column(text), False):
                 yield b.slice(i, len(scores)).filter(pa.array(scores < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacatia.llm.common import materialize, table, work_dir
+from vacatia.llm.common import lean, materialize, table, work_dir
 
 #: Rules that one array file holds about (8 bytes of digest each, 8 of offset, the strings beside), and bytes that the
 #: driver hands on at a time.
@@ -152,7 +152,7 @@ def judge(pages: DataFrame, rules: DataFrame | Iterable[tuple[str, str, str]], d
             yield pa.RecordBatch.from_arrays([b.column("key"), b.column("host"), b.column("path"), out, pa.array(verdict, pa.string())], [key, "host", "path", "rule", "verdict"])
 
     kind = dict(parts.dtypes)["key"]
-    return parts.mapInArrow(run, f"`{key}` {kind}, host string, path string, rule string, verdict string")
+    return parts.mapInArrow(lean(run), f"`{key}` {kind}, host string, path string, rule string, verdict string")
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
