@@ -2,6 +2,12 @@
 
 Toxic documents go, one document of each class of near copies stays, documents that hold benchmark passages go, secrets
 are replaced in the texts that stay, and the rest is sampled to target weights.
+
+Cases: a null or empty text is kept by the first four stages (it scores the share of toxic labels, is linked with nothing,
+matches no item, holds no secret) and drawn with its cell's probability; rows with a null id are kept and judged by their texts;
+of rows equal in id and text one stays; of equally good documents of a class the smallest id stays; a very long text is read
+whole; an empty table goes through all stages and stays empty; extra columns pass through, whatever their names, but for those
+that the last stage adds (n_tokens, topic, probability, weight), which replace columns of these names.
 """
 
 from __future__ import annotations

@@ -138,3 +138,19 @@ def test_quantiles_of_many_and_few(spark):
         df = spark.createDataFrame([(float(x),) for x in v] + [(None,)], "v double")
         got = stats.exact_quantiles(df, "v", (0.0, 0.01, 0.5, 0.99, 1.0))
         assert got == [None] * 5 if not v else np.allclose(got, np.quantile(v, [0, 0.01, 0.5, 0.99, 1]))
+
+
+def test_quantiles_with_infinities(spark):
+    from vacatia.operators import stats
+
+    inf = float("inf")
+    df = spark.createDataFrame([(float(x),) for x in range(6000)] + [(inf,)] * 3 + [(-inf,)], "v double")
+    assert stats.exact_quantiles(df, "v", (0.0, 0.5, 0.9999, 1.0)) == [-inf, 3000.5, inf, inf]
+
+
+def test_rows_without_a_key_share_none(spark):
+    from vacatia.operators import dedup
+
+    df = spark.createDataFrame([(i, None if i < 5 else "k", "s" if i % 2 else "t") for i in range(8)], "id int, key string, source string")
+    got = {r["id"]: (r["kept"], r["also_on"]) for r in dedup.across_sources(df, "key", "source", "id", [F.asc("id")]).collect()}
+    assert got == {**{i: (True, []) for i in range(5)}, 5: (True, ["t:6", "s:7"]), 6: (False, []), 7: (False, [])}

@@ -30,12 +30,13 @@ def across_sources(df: DataFrame, key: str, source: str, id_: str, order: list[C
 
     Adds kept and also_on (source:id of the losers in rank order; empty for losers and for keys of one source)."""
     every = W.partitionBy(key)
-    n = df.withColumn("_sources", F.when(F.col(key).isNotNull(), F.size(F.collect_set(source).over(every))).otherwise(1))
-    rank = F.when(F.col("_sources") > 1, F.row_number().over(every.orderBy(*order))).otherwise(1)
-    n = n.withColumn("_rank", rank)
+    none = F.array().cast("array<string>")
+    alone = df.filter(F.col(key).isNull()).withColumn("also_on", none).withColumn("kept", F.lit(True))  # they share no key
+    n = df.filter(F.col(key).isNotNull()).withColumn("_sources", F.size(F.collect_set(source).over(every)))
+    n = n.withColumn("_rank", F.when(F.col("_sources") > 1, F.row_number().over(every.orderBy(*order))).otherwise(1))
     losers = F.collect_list(F.when(F.col("_rank") > 1, F.struct("_rank", F.concat_ws(":", source, id_).alias("who")))).over(every.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    also = F.when((F.col("_sources") > 1) & (F.col("_rank") == 1), F.transform(F.array_sort(losers), lambda x: x["who"])).otherwise(F.array().cast("array<string>"))
-    return n.withColumn("also_on", also).withColumn("kept", F.col("_rank") == 1).drop("_sources", "_rank")
+    also = F.when((F.col("_sources") > 1) & (F.col("_rank") == 1), F.transform(F.array_sort(losers), lambda x: x["who"])).otherwise(none)
+    return n.withColumn("also_on", also).withColumn("kept", F.col("_rank") == 1).drop("_sources", "_rank").unionByName(alone)
 
 
 def funnel(df: DataFrame, levels: list[list[Column]], source: Column) -> DataFrame:

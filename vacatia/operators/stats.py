@@ -26,6 +26,7 @@ def fill_rates(df: DataFrame, empty: dict[str, Column]) -> DataFrame:
 
 #: Bins of a pass of exact_quantiles, and how many values it sorts on the driver at the end, at most, for each rank.
 BINS, MOST_SORTED = 1024, 4096
+INF = float("inf")
 
 
 def exact_quantiles(df: DataFrame, column: str | Column, at: tuple[float, ...]) -> list[float | None]:
@@ -36,6 +37,8 @@ def exact_quantiles(df: DataFrame, column: str | Column, at: tuple[float, ...])
     c = F.col(column) if isinstance(column, str) else column
     v = df.select(c.cast("double").alias("v")).filter("v is not null and not isnan(v)")
     n, lo, hi = v.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    if n and (lo == -INF or hi == INF):  # ends that no bin can span: rank them apart
+        return _with_infinities(v, n, at)
     if not n:
         return [None] * len(at)
     spots = [(n - 1) * p for p in at]
@@ -65,6 +68,19 @@ def exact_quantiles(df: DataFrame, column: str | Column, at: tuple[float, ...])
     return [value[int(h)] + (value[min(int(h) + 1, n - 1)] - value[int(h)]) * (h - int(h)) for h in spots]
 
 
+def _with_infinities(v: DataFrame, n: int, at: tuple[float, ...]) -> list[float | None]:
+    """exact_quantiles() of a column that holds infinities; half way to one is that one."""
+    low, high = v.agg(F.count_if(F.col("v") == -INF), F.count_if(F.col("v") == INF)).first()
+    inner = n - low - high
+    spots = [(n - 1) * p for p in at]
+    ranks = sorted({r for h in spots for r in (int(h), min(int(h) + 1, n - 1))})
+    mine = [r for r in ranks if low <= r < low + inner]
+    held = exact_quantiles(v.filter((F.col("v") > -INF) & (F.col("v") < INF)), "v", tuple((r - low) / max(inner - 1, 1) for r in mine)) if mine else []
+    value = dict(zip(mine, held, strict=True)) | {r: -INF if r < low else INF for r in ranks if r not in mine}
+    pairs = [(value[int(h)], value[min(int(h) + 1, n - 1)], h - int(h)) for h in spots]
+    return [a if a == b or not f else a + (b - a) * f for a, b, f in pairs]
+
+
 def quantiles(df: DataFrame, column: str, at: tuple[float, ...] = (0.01, 0.25, 0.5, 0.75, 0.99)) -> DataFrame:
     """One row of exact quantiles with linear interpolation."""
     names = [f"p{round(100 * p)}" for p in at]

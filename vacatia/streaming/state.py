@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder shared by the cluster, from spark.checkpoint.dir; a local one only where it is unset."""
+    """The folder shared by the cluster, from spark.checkpoint.dir; a local one only for a local session, an error on a cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return (base or f"file:///tmp/checkpoints/vacatia-{spark.sparkContext.applicationId}").rstrip("/")
 
 
