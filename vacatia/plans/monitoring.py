@@ -61,7 +61,11 @@ def language_stopwords(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents", spread=True).select("doc_id", C.language_by_stopwords(F.col("text")).alias("language"))
 
 
-@Q()
+def _phrases(words: tuple[str, ...]) -> str:
+    return f"len(regexp_extract_all(lower(text), '{'|'.join(words)}'))"
+
+
+@Q(f"""select doc_id, case when length(trim(lower(text))) >= 80 and (len(regexp_extract_all(lower(text), '[{T.VI_LETTERS}]')) >= 5 or {_phrases(C.VI_PHRASES)} > {_phrases(C.EN_PHRASES)}) then 'vi' else 'en' end as language from documents""")
 def language_of_posting(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents", spread=True).select("doc_id", C.language_of_posting(F.lit("Dev"), F.lit("X"), F.col("text")).alias("language"))
 

@@ -111,7 +111,11 @@ def accent_ratio(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents", spread=True).select("doc_id", text.language_by_letters(F.col("text")).alias("language"))
 
 
-@Q()
+@Q(r"""with l as (select doc_id, generate_subscripts(x, 1) as i, unnest(x) as line from (select doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda s: trim(s)), lambda s: s <> '') as x from documents)),
+    f as (select *, (i = 1 or regexp_matches(line, '^\s*(?:[-–•*+▪▫➢]|\d+[.)])') or regexp_matches(lag(line) over (partition by doc_id order by i), '[.:;!]$'))::int as s from l),
+    g as (select *, sum(s) over (partition by doc_id order by i) as k from f), items as (select doc_id, k, string_agg(line, ' ' order by i) as item from g group by all),
+    o as (select doc_id, count(*) as n, string_agg(item, chr(10) order by k) as items from items group by doc_id)
+    select d.doc_id, coalesce(n, 0)::int as n_items, coalesce(items, '') as items from documents d left join o using (doc_id)""")
 def bullet_stitch(spark: SparkSession, d: str) -> DataFrame:
     items = text.stitch_bullets(F.split("text", "\n"))
     return table(spark, d, "documents", spread=True).select("doc_id", F.size(items).alias("n_items"), F.array_join(items, "\n").alias("items"))
@@ -228,11 +232,15 @@ def title_rules(spark: SparkSession, d: str) -> DataFrame:
     return p.select("p_partkey", classify.level(F.lit(None).cast("string"), F.col("t"), F.lit(None).cast("double"))["level"].alias("level"), classify.family(F.col("t"), none)["family"].alias("family"), classify.relevance(F.col("t"), none).alias("relevance"))
 
 
-@Q("""select p_partkey, case when p_size = 0 then 'Mới tốt nghiệp' when p_size between 1 and 2 then 'Junior' when p_size between 3 and 4 then 'Middle' else 'Senior' end as level, p_size < 5 and p_size >= 0 and false as conflict from part""")
+@Q("""with p as (select p_partkey, p_partkey % 3 as r, (p_size % 14) / 2.0 as y from part)
+    select p_partkey, case when r = 0 then 'Senior' when r = 1 then 'Thực tập' when y = 0 then 'Mới tốt nghiệp' when y between 1 and 2 then 'Junior' when y between 3 and 4 then 'Middle' when y >= 5 then 'Senior' else 'Chưa rõ' end as level,
+        (r = 0 and y < 2) or (r = 1 and y >= 3) as conflict from p""")
 def seniority_by_years(spark: SparkSession, d: str) -> DataFrame:
-    none, years = F.lit(None).cast("string"), F.col("p_size").cast("double")
-    p = table(spark, d, "part").select("p_partkey", "p_size", classify.level(none, F.lit("Chuyên viên"), years).alias("l"))
-    return p.select("p_partkey", F.col("l.level").alias("level"), classify.level_conflict(F.col("l.level"), years, years).alias("conflict"))
+    """The title decides, else the years, which leave gaps between the bands; and whether title and years go together."""
+    none, years = F.lit(None).cast("string"), (F.col("p_size") % 14) / 2.0
+    title = _pick(("Senior Developer", "Intern", "Chuyên viên"), F.col("p_partkey") % 3)
+    p = table(spark, d, "part").select("p_partkey", years.alias("y"), classify.level(none, title, years).alias("l"))
+    return p.select("p_partkey", F.col("l.level").alias("level"), classify.level_conflict(F.col("l.level"), F.col("y"), F.col("y")).alias("conflict"))
 
 
 _TYPES = (("Toàn thời gian", "full_time"), ("PART TIME", "part_time"), ("Internship", "intern"), ("Thời vụ", "other"))
