@@ -16,7 +16,7 @@ from vacatia.plans.registry import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Modules of vacatia.plans, each with QUERIES: name -> (query, SQL or None).
-MODULES: tuple[str, ...] = ("relational", "profiles", "texts", "entities", "monitoring", "postings", "reports")
+MODULES: tuple[str, ...] = ("relational", "profiles", "texts", "entities", "monitoring", "postings", "reports", "sites")
 
 
 def _all() -> dict[str, tuple[Query, str | None]]:
