@@ -85,13 +85,17 @@ def closed(code: Column, deadline: Column, payload: Column, page: Column, today:
     return F.coalesce(code.isin(404, 410), F.lit(False)) | past(deadline) | flags | ended | F.coalesce(contains_any(F.lower(page), CLOSED_WORDS), F.lit(False))
 
 
-def language_by_stopwords(text: Column) -> Column:
-    """vi or en: marked letters first, then Vietnamese stopwords."""
-    s = F.lower(F.coalesce(text, F.lit("")))
+def language_by_stopwords(text: Column, brief: bool = True) -> Column:
+    """vi or en: marked letters first, then Vietnamese stopwords.
+
+    brief: also the original's rules for little text (vi for null, for no word of letters only, for one stopword in five words);
+    without them null is en, and only a text without any letter is vi."""
+    s = F.lower(F.translate(F.coalesce(text, F.lit("")) if brief else text, "İ", "i"))  # the only letter that lower() makes two of
     marked = F.regexp_count(s, F.lit(f"[{T.VI_LETTERS}]"))
-    words = F.regexp_extract_all(s, F.lit(r"(?U)\b[a-zà-ỹđ]+\b"), F.lit(0))
+    words = F.regexp_extract_all(s, F.lit(r"(?U)\b[a-zà-ỹđ]+\b" if brief else r"[\p{L}\p{N}_]+"), F.lit(0))
     hits = F.size(F.filter(words, lambda w: w.isin(*VI_WORDS)))
-    return F.when((marked >= 2) | (F.size(words) == 0) | (hits >= 2) | ((hits >= 1) & (F.size(words) <= 5)) | (marked >= 1), "vi").otherwise("en")
+    bare = (F.size(words) == 0) | ((hits >= 1) & (F.size(words) <= 5)) if brief else ~s.rlike("[a-zà-ỹđ]")
+    return F.when((marked >= 1) | bare | (hits >= 2), "vi").otherwise("en")
 
 
 def language_of_posting(title: Column, company: Column, description: Column) -> Column:
