@@ -60,16 +60,27 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) > 0) & (F.size(b) > 0), both / (F.size(a) + F.size(b) - both)).otherwise(0.0)
 
 
-def similar_pairs(df: DataFrame, block: list[str], id_: str, title: str, least: float) -> DataFrame:
-    """(a, b, similarity) of rows of a block whose title words agree.
-
-    Joined on block and shared word, so only pairs with a common word meet, and each is counted where words meet."""
-    base = df.select(*block, F.col(id_).alias("id"), title_tokens(F.col(title)).alias("words")).withColumn("size", F.size("words"))
-    words = base.select(*block, "id", "size", F.explode("words").alias("word"))
-    other = words.select(*block, "word", F.col("id").alias("b"), F.col("size").alias("size_b"))
-    met = words.withColumnRenamed("id", "a").join(other, [*block, "word"]).filter("a < b").groupBy("a", "b", "size", "size_b").agg(F.count("*").alias("both"))
+def _members_of(pairs: DataFrame, members: DataFrame, score: str) -> DataFrame:
+    """(a, b, score), a < b: all pairs of members (k: class, id) of pairs of classes (k, other, score), which hold both
+    orders and each class with itself. Rows are only joined, so no pair is shuffled, and adaptive execution splits large classes."""
+    near = members.join(pairs, "k").select(F.col("id").alias("a"), score, F.col("other").alias("k"))
+    return near.join(members.select("k", F.col("id").alias("b")), "k").filter("a < b").select("a", "b", score)
+
+
+def similar_pairs(df: DataFrame, block: list[str], id_: str, title: str, least: float, digits: int | None = None) -> DataFrame:
+    """(a, b, similarity) of rows of a block whose title words agree; similarity is rounded to so many digits after the comparison.
+
+    Rows of a block with the same words are a class. Classes are joined on block and shared word, so only those with a common
+    word meet, and each pair is counted where words meet; then members take their classes' places."""
+    words = df.select(*block, F.col(id_).alias("id"), F.explode(title_tokens(F.col(title))).alias("word")).dropna(subset=[*block, "id"])
+    base = words.groupBy(*block, "id").agg(F.sort_array(F.collect_set("word")).alias("words"))
+    members = base.select(F.struct(*block, "words").alias("k"), "id")
+    classes = members.select("k").distinct().select("k", F.size("k.words").alias("size"), F.explode("k.words").alias("word"), F.struct(*[F.col("k")[c].alias(c) for c in block]).alias("block"))
+    other = classes.select("block", "word", F.col("k").alias("other"), F.col("size").alias("size_b"))
+    met = classes.join(other, ["block", "word"]).groupBy("k", "other", "size", "size_b").agg(F.count("*").alias("both"))
     sim = F.col("both") / (F.col("size") + F.col("size_b") - F.col("both"))
-    return met.select("a", "b", sim.alias("similarity")).filter(F.col("similarity") >= least)
+    near = met.select("k", "other", sim.alias("similarity")).filter(F.col("similarity") >= least)
+    return _members_of(near if digits is None else near.withColumn("similarity", F.round("similarity", digits)), members, "similarity")
 
 
 def tfidf_pairs(df: DataFrame, block: list[str], id_: str, text: Column, least: float) -> DataFrame:

@@ -21,8 +21,7 @@ Q = QUERIES.add
     select a.id as a, b.id as b, round(count(*) * 1.0 / (any_value(sa.n) + any_value(sb.n) - count(*)), 6) as similarity from w a join w b on a.p_brand = b.p_brand and a.word = b.word and a.id < b.id join s sa on sa.id = a.id join s sb on sb.id = b.id
     group by a.id, b.id having count(*) * 1.0 / (any_value(sa.n) + any_value(sb.n) - count(*)) >= 0.85""")
 def fuzzy_pairs_jaccard(spark: SparkSession, d: str) -> DataFrame:
-    p = dedup.similar_pairs(table(spark, d, "part"), ["p_brand"], "p_partkey", "p_name", 0.85)
-    return p.withColumn("similarity", F.round("similarity", 6))
+    return dedup.similar_pairs(table(spark, d, "part"), ["p_brand"], "p_partkey", "p_name", 0.85, digits=6)
 
 
 @Q(r"""with t as (select p_partkey as id, p_brand, unnest(regexp_extract_all(lower(p_name || ' ' || p_type), '[\p{L}\p{N}_][\p{L}\p{N}_]+')) as word from part), tf as (select p_brand, id, word, count(*) as tf from t group by all),
