@@ -29,7 +29,7 @@ def test_language_stopwords(spark, tmp_path):
 NAMES = ["red ring", "ring red", "red  ring", "blue bolt", "red ring cap", "", None, "a b c d e f g h", "a b c d e f g"]
 
 
-@pytest.mark.parametrize("query", ["fuzzy_pairs_jaccard"])
+@pytest.mark.parametrize("query", ["fuzzy_pairs_jaccard", "tfidf_pairs"])
 def test_pairs_of_copies(spark, tmp_path, query):
     """Copies, an id that repeats, rows without a brand; and no pair of rows is shuffled or counted, only pairs of classes."""
     rows = [(i, NAMES[i % 9] if NAMES[i % 9] != "red  ring" else "ring cap", None if i % 17 == 5 else f"Brand#{i % 2}", "LARGE" if i % 4 else "SMALL") for i in range(180)]

@@ -83,18 +83,26 @@ def similar_pairs(df: DataFrame, block: list[str], id_: str, title: str, least:
     return _members_of(near if digits is None else near.withColumn("similarity", F.round("similarity", digits)), members, "similarity")
 
 
-def tfidf_pairs(df: DataFrame, block: list[str], id_: str, text: Column, least: float) -> DataFrame:
-    """(a, b, cosine) within a block: TF-IDF of words with idf = ln((1 + n) / (1 + df)) + 1 fitted per block, unit length."""
-    words = df.select(*block, F.col(id_).alias("id"), F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))).alias("word"))
+def tfidf_pairs(df: DataFrame, block: list[str], id_: str, text: Column, least: float, digits: int | None = None) -> DataFrame:
+    """(a, b, cosine) within a block: TF-IDF of words with idf = ln((1 + n) / (1 + df)) + 1 fitted per block, unit length;
+    cosine is rounded to so many digits after the comparison.
+
+    Rows of a block with the same words as often are a class; frequencies count its rows, and vectors are compared once a class."""
+    words = df.select(*block, F.col(id_).alias("id"), F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))).alias("word")).dropna(subset=block)
     tf = words.groupBy(*block, "id", "word").agg(F.count("*").alias("tf"))
+    members = tf.groupBy(*block, "id").agg(F.sort_array(F.collect_list(F.struct("word", "tf"))).alias("words")).select(F.struct(*block, "words").alias("k"), "id")
     n = df.groupBy(*block).agg(F.count("*").alias("n"))
-    seen = tf.groupBy(*block, "word").agg(F.count("*").alias("df"))
-    weight = tf.join(seen, [*block, "word"]).join(n, block).withColumn("w", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)).filter("df > 1 or n = 1")
-    norm = tf.join(seen, [*block, "word"]).join(n, block).groupBy("id").agg(F.sqrt(F.sum(F.pow(F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1), F.lit(2)))).alias("norm"))
-    other = weight.select(*block, "word", F.col("id").alias("b"), F.col("w").alias("w_b"))
-    dots = weight.withColumnRenamed("id", "a").join(other, [*block, "word"]).filter("a < b").groupBy("a", "b").agg(F.sum(F.col("w") * F.col("w_b")).alias("dot"))
-    both = dots.join(norm.withColumnRenamed("id", "a"), "a").join(norm.select(F.col("id").alias("b"), F.col("norm").alias("norm_b")), "b")
-    return both.select("a", "b", (F.col("dot") / F.col("norm") / F.col("norm_b")).alias("cosine")).filter(F.col("cosine") >= least)
+    bags = members.groupBy("k").agg(F.count("*").alias("rows"))
+    terms = bags.select("k", "rows", *[F.col("k")[c].alias(c) for c in block], F.explode("k.words").alias("t")).select("k", "rows", *block, "t.word", "t.tf")
+    seen = terms.groupBy(*block, "word").agg(F.sum("rows").alias("df"))
+    weight = terms.join(seen, [*block, "word"]).join(n, block).withColumn("w", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))
+    norm = weight.groupBy("k").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    shared = weight.filter("df > 1").select("k", *block, "word", "w")
+    other = shared.select(*block, "word", F.col("k").alias("other"), F.col("w").alias("w_b"))
+    dots = shared.join(other, [*block, "word"]).groupBy("k", "other").agg(F.sum(F.col("w") * F.col("w_b")).alias("dot"))
+    both = dots.join(norm, "k").join(norm.select(F.col("k").alias("other"), F.col("norm").alias("norm_b")), "other")
+    near = both.select("k", "other", (F.col("dot") / F.col("norm") / F.col("norm_b")).alias("cosine")).filter(F.col("cosine") >= least)
+    return _members_of(near if digits is None else near.withColumn("cosine", F.round("cosine", digits)), members, "cosine")
 
 
 # When two postings are the same.

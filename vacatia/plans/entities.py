@@ -30,8 +30,7 @@ def fuzzy_pairs_jaccard(spark: SparkSession, d: str) -> DataFrame:
     select a.id as a, b.id as b, round(sum(a.w * b.w) / any_value(na.norm) / any_value(nb.norm), 6) as cosine from w a join w b on a.p_brand = b.p_brand and a.word = b.word and a.id < b.id join nm na on na.id = a.id join nm nb on nb.id = b.id
     group by a.id, b.id having sum(a.w * b.w) / any_value(na.norm) / any_value(nb.norm) >= 0.95""")
 def tfidf_pairs(spark: SparkSession, d: str) -> DataFrame:
-    p = dedup.tfidf_pairs(table(spark, d, "part"), ["p_brand"], "p_partkey", F.concat_ws(" ", "p_name", "p_type"), 0.95)
-    return p.withColumn("cosine", F.round("cosine", 6))
+    return dedup.tfidf_pairs(table(spark, d, "part"), ["p_brand"], "p_partkey", F.concat_ws(" ", "p_name", "p_type"), 0.95, digits=6)
 
 
 def _postings(spark: SparkSession, d: str) -> DataFrame:
