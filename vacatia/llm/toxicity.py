@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacatia.llm.blockmax import GROUP, Lists, best_rows, one_thread
-from vacatia.llm.common import NON_WORD, Words, discard, distinct_per_row, hash_spans, lean, materialize, share, shared, slices, table, text_buffers
+from vacatia.llm.common import NON_WORD, Pieces, Words, discard, distinct_per_row, hash_spans, lean, materialize, share, shared, slices, table, text_buffers, trim
 
 PREFIXES = (5, 7)
 #: Bound of the sample of labelled rows, by the order of a hash of their ids.
@@ -84,11 +84,12 @@ def _buckets(vocabulary: np.ndarray) -> np.ndarray:
 class Index:
     """The examples' vectors as posting lists over their places in the order of ids, and what a vote needs."""
 
-    def __init__(self, spark: SparkSession, ids: np.ndarray, labels: np.ndarray, arrays: dict[str, np.ndarray]):
-        """arrays: vocabulary, idf (with the factor of telling terms), held (examples of a term), first, row and weight of the lists."""
+    def __init__(self, spark: SparkSession, ids: np.ndarray, labels: np.ndarray, words: str, arrays: dict[str, np.ndarray | Pieces]):
+        """words: the shared file of the vocabulary; arrays: idf (with the factor of telling terms), held (examples of a term),
+        first, row and weight of the lists."""
         self.ids, self.labels, self.prior = ids, labels, float(labels.mean())
         self.steps = np.array([0.0, 1.0]), np.array([0.0, 1.0])
-        self.file = share(spark, "examples", arrays)
+        self.words, self.file = words, share(spark, "examples", arrays)
         self._ready: tuple[dict[str, np.ndarray], Lists, np.ndarray] | None = None
 
     def __getstate__(self) -> dict:
@@ -98,7 +99,7 @@ class Index:
         """The mapped arrays, the lists and the buckets of the vocabulary; made once a process, and gone with the broadcast index."""
         if self._ready is None:
             one_thread()
-            x = shared(self.file)
+            x = shared(self.words) | shared(self.file)
             self._ready = x, Lists(len(self.ids), x["first"], x["row"], x["weight"], DENSE), _buckets(x["vocabulary"])
         return self._ready
 
@@ -164,12 +165,22 @@ def vectors(row: np.ndarray, term: np.ndarray, weight: np.ndarray, n_rows: int)
     return Vectors(np.searchsorted(row, np.arange(n_rows + 1)), term, weight / norm[row])
 
 
+def pieces(n: int, most: int = 1 << 19) -> Iterator[slice]:
+    """0 to n in ranges, so that what is computed of postings is never as long as they are."""
+    return (slice(i, min(i + most, n)) for i in range(0, n, most))
+
+
 def telling(row: np.ndarray, term: np.ndarray, n_terms: int, y: np.ndarray, once: np.ndarray) -> np.ndarray:
     """1 + sqrt(G) of every term that leans to positive examples, else 1. once: the examples that count."""
-    counts = np.isin(row, once)
-    row, term, y1 = row[counts], term[counts], y[once]
-    n, a = np.bincount(term, minlength=n_terms).astype(float), np.bincount(term, weights=y[row], minlength=n_terms)
-    p, q = y1.sum(), len(y1) - y1.sum()
+    counts = np.zeros(len(y), bool)
+    counts[once] = True
+    n, a = np.zeros(n_terms), np.zeros(n_terms)
+    for s in pieces(len(row)):
+        some = counts[row[s]]
+        t = term[s][some]
+        n += np.bincount(t, minlength=n_terms)
+        a += np.bincount(t, weights=y[row[s][some]], minlength=n_terms)
+    p, q = y[once].sum(), len(once) - y[once].sum()
     part = lambda x, e: x * np.log(np.where(x > 0, x, 1) / np.where(x > 0, e, 1))
     e = n * (p / (p + q))
     g = 2 * (part(a, e) + part(n - a, n - e) + part(p - a, p - e) + part(q - (n - a), q - (n - e)))
@@ -217,45 +228,67 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     if not len(rows):
         return None
     ids, y = np.array(rows.column(key).to_pylist()), np.array(rows.column("label").to_pylist(), float)
-    hashes, tf = np.asarray(pc.list_flatten(rows.column("terms"))), np.asarray(pc.list_flatten(rows.column("tf")))
+    hashes, tf = (np.concatenate([np.asarray(c.flatten()) for c in rows.column(k).chunks]) for k in ("terms", "tf"))
     row = np.repeat(np.arange(len(ids), dtype=np.int32), np.asarray(pc.list_value_length(rows.column("terms"))))
     # each distinct text once, so that copies make no word telling
     once = np.unique(np.stack([np.asarray(rows.column("digest")), y.astype(np.int64)]), axis=1, return_index=True)[1]
     del rows
-    vocabulary = np.sort(hashes.view(np.uint64))
-    vocabulary = vocabulary[np.diff(vocabulary, prepend=~vocabulary[:1]) != 0]
+    pa.default_memory_pool().release_unused()
+    hashes = hashes.view(np.uint64)
+    vocabulary = np.sort(hashes)
+    new = np.ones(len(vocabulary), bool)
+    np.not_equal(vocabulary[1:], vocabulary[:-1], out=new[1:])
+    vocabulary = vocabulary[new]
     if not len(vocabulary):
         return None
-    term = np.searchsorted(vocabulary, hashes.view(np.uint64)).astype(np.int32)
-    del hashes
-    pa.default_memory_pool().release_unused()
+    term = np.empty(len(hashes), np.int32)
+    for s in pieces(len(term)):
+        term[s] = np.searchsorted(vocabulary, hashes[s])
+    del hashes, new
+    n_terms, words = len(vocabulary), share(docs.sparkSession, "vocabulary", {"vocabulary": vocabulary})
+    del vocabulary
+    trim()
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, df, known = 0, np.zeros(len(vocabulary), np.int64), _buckets(vocabulary)
+        vocabulary = shared(words)["vocabulary"]
+        n, df, known = 0, np.zeros(n_terms, np.int64), _buckets(vocabulary)
         for b in batches:
             n += b.num_rows
             data, off = _lowered(b.column("text"))
             for i, j in slices(off):
                 rows, h, _ = _terms(data, off[i : j + 1])
-                _, at, _ = counted(*_known(rows, h, vocabulary, known), len(vocabulary))
-                df += np.bincount(at, minlength=len(vocabulary))
+                _, at, _ = counted(*_known(rows, h, vocabulary, known), n_terms)
+                df += np.bincount(at, minlength=n_terms)
         held = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], held])), pa.array(np.concatenate([[n], df[held]]))], ["at", "n"])
 
     of = docs.select(F.col(text).alias("text")).mapInArrow(lean(frequencies), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    df = np.zeros(len(vocabulary) + 1)
+    df = np.zeros(n_terms + 1)
     df[np.asarray(of.column("at")) + 1] = np.asarray(of.column("n"))
+    del of
     idf = np.log((1 + df[0]) / (1 + df[1:])) + 1
 
-    idf = idf * telling(row, term, len(vocabulary), y, once)
-
-    v = vectors(row, term, (1 + np.log(tf)) * idf[term], len(ids))
-    held = np.bincount(term, minlength=len(vocabulary))
-    by = np.argsort(term, kind="stable")
+    idf = idf * telling(row, term, n_terms, y, once)
+
+    weight = np.empty(len(term))
+    for s in pieces(len(term)):
+        weight[s] = (1 + np.log(tf[s])) * idf[term[s]]
+    del tf
+    norm = np.zeros(len(ids))
+    for s in pieces(len(term)):
+        np.add.at(norm, row[s], weight[s] * weight[s])
+    norm = np.sqrt(norm)
+    for s in pieces(len(term)):
+        weight[s] /= norm[row[s]]
+    held = np.bincount(term, minlength=n_terms)
+    by = np.argsort(term, kind="stable").astype(np.int32 if len(term) < 1 << 31 else np.int64)
+    del term
     small = np.uint16 if len(ids) <= 1 << 16 else np.int64
-    arrays = {"vocabulary": vocabulary, "idf": idf, "held": held.astype(np.int32), "first": np.concatenate([[0], np.cumsum(held)]), "weight": v.weight[by], "row": row[by].astype(small)}
-    out = Index(docs.sparkSession, ids, y, arrays)
-    del v, by, row, term, tf, arrays
+    arrays = {"idf": idf, "first": np.concatenate([[0], np.cumsum(held)]), "weight": Pieces(float, len(by), (weight[by[s]] for s in pieces(len(by))))}
+    arrays |= {"held": held.astype(np.int32), "row": Pieces(small, len(by), (row[by[s]] for s in pieces(len(by))))}
+    out = Index(docs.sparkSession, ids, y, words, arrays)
+    del weight, by, row, arrays, idf, held
+    trim()
     place = {i: n for n, i in enumerate(ids.tolist())}
     sent = docs.sparkSession.sparkContext.broadcast(out)  # bounded by MOST_EXAMPLES
 
