@@ -1,6 +1,7 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-A text's topic is the nearest of TOPICS centres, learnt by k-means from a sample of at most TOPIC_ROWS texts (a parameter).
+A text's topic is the nearest of TOPICS centres, learnt by k-means from all texts: each is read once, what is left of it are the
+counts of its hashed words (a table), which every round goes through. Sums are of whole numbers, so that their order is nothing.
 Tokens are summed by cell (source, language, topic) over all documents. Raking scales the cells' token weights to the target shares of each
 marginal in turn until all hold. A cell's documents are then kept with one probability: its raked weight times a scale,
 at most 1, over its tokens, where the scale makes the expected tokens meet the budget; weight carries what the cap took
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacatia.llm.common import SPACE, Words, bounded_sample, discard, distinct_per_row, lean, materialize, slices, table, text_buffers, trim
+from vacatia.llm.common import SPACE, Words, discard, distinct_per_row, lean, materialize, slices, table, text_buffers, trim
 
 MOST_CELLS = 50_000
 #: Share of all tokens that the sample aims at.
@@ -35,8 +36,12 @@ BUDGET = 0.5
 #: Without given shares, a marginal's targets are its tokens to this power: under 1 lifts small values.
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.8}
 ROUNDS, TOLERANCE = 200, 1e-9
-#: Topics, the bound of the sample that they are learnt from, and places that words are hashed to.
-TOPICS, TOPIC_ROWS, FEATURES = 8, 2000, 4096
+#: Topics, places that words are hashed to, and the most rounds of k-means.
+TOPICS, FEATURES, FITS = 8, 4096, 20
+#: A language has a mean text of its own if one text in so many is in it; the others share one.
+OWN_MEAN = 100
+#: Sums over texts are of multiples of this.
+UNIT = 2.0**-30
 SEED = 6
 
 
@@ -46,7 +51,7 @@ class Topics:
 
     idf: np.ndarray
     centres: np.ndarray  # FEATURES x topics
-    taken: dict[str | None, np.ndarray]  # None: any other language
+    taken: dict[str | None, np.ndarray]  # None: any language without a mean of its own
 
     def names(self) -> list[str]:
         return [f"topic{t}" for t in range(self.centres.shape[1])]
@@ -56,45 +61,171 @@ def features(w: Words) -> np.ndarray:
     return (w.hashes() % np.uint64(FEATURES)).astype(np.int64)
 
 
-def fit_topics(docs: DataFrame, text: str, key: str, lang: str) -> Topics:
-    """Topics of a sample of at most TOPIC_ROWS texts: spherical k-means of TF-IDF vectors of hashed words, each less the
-    mean vector of its language, so that topics are not languages. The same for the same rows, in any order."""
-    few = bounded_sample(docs.filter(F.trim(text) != "").select(F.col(key).alias("_key"), F.col(text).alias("text"), none(lang).alias("lang")), TOPIC_ROWS, SEED, "_key", "text")
+def counted(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    """(_source, _lang, n: words, at: places of its hashed words, 2 bytes each, tf: how often, 4 bytes each) of every row."""
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = text_buffers(b.column("text"))
             for i, j in slices(off):
                 w = Words(data, off[i : j + 1], SPACE)
-                at, n, first = distinct_per_row(w.row, features(w).astype(np.uint64), w.n_rows)
-                lists = [pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(x.astype(np.int32))) for x in (at, n)]
-                yield pa.RecordBatch.from_arrays([b.column("lang").slice(i, j - i), *lists], ["lang", "at", "n"])
+                at, tf, first = distinct_per_row(w.row, features(w).astype(np.uint64), w.n_rows)
+                packed = [pa.LargeBinaryArray.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(first * k), pa.py_buffer(x)]) for x, k in ((at.astype("<u2"), 2), (tf.astype("<u4"), 4))]
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in ("_source", "_lang")), pa.array(w.count), *(x.cast(pa.binary()) for x in packed)], ["_source", "_lang", "n", "at", "tf"])
 
-    rows = sorted((r for r in few.mapInArrow(lean(counted), "lang string, at array<int>, n array<int>").collect() if r["at"]), key=lambda r: (r["lang"], r["at"], r["n"]))
-    if not rows:
-        return Topics(np.ones(FEATURES), np.zeros((FEATURES, 1), np.float32), {None: np.zeros(1)})
-    x = np.zeros((len(rows), FEATURES))
-    for i, r in enumerate(rows):
-        x[i, r["at"]] = 1 + np.log(r["n"])
-    idf = np.log(len(rows) / np.maximum((x > 0).sum(axis=0), 1)) + 1
-    x *= idf
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    langs = np.array([r["lang"] for r in rows])
-    means = {v: x[langs == v].mean(axis=0) for v in sorted(set(langs.tolist()))} | {None: x.mean(axis=0)}
-    y = x - np.array([means[v] for v in langs])
-    size = np.linalg.norm(y, axis=1, keepdims=True)
-    y /= np.where(size > 0, size, 1)
-    centres = y[:1]  # the first, then again and again the text least like all centres so far
-    while len(centres) < min(TOPICS, len(y)):
-        centres = np.concatenate([centres, y[np.argmin((y @ centres.T).max(axis=1))][None]])
-    for _ in range(20):
-        own = (y @ centres.T).argmax(axis=1)
-        moved = np.array([y[own == t].sum(axis=0) if (own == t).any() else centres[t] for t in range(len(centres))])
-        moved /= np.maximum(np.linalg.norm(moved, axis=1, keepdims=True), 1e-12)
+    rows = docs.select(F.col(text).alias("text"), (none("source") if "source" in docs.columns else F.lit("")).alias("_source"), none(lang).alias("_lang"))
+    return rows.mapInArrow(lean(run), "_source string, _lang string, n long, at binary, tf binary")
+
+
+def unpacked(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """at, tf and offsets of the rows of a batch of counted()."""
+    out = []
+    for name, kind in (("at", "<u2"), ("tf", "<u4")):
+        _, off, data = b.column(name).cast(pa.large_binary()).buffers()
+        first = np.frombuffer(off, np.int64)[b.column(name).offset :][: b.num_rows + 1] // np.dtype(kind).itemsize
+        out.append(np.frombuffer(data, kind)[first[0] : first[-1]] if data else np.zeros(0, kind))
+    return out[0].astype(np.int64), out[1], first - first[0]
+
+
+def sums(x: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of x from first[i] to first[i + 1]."""
+    out = np.zeros(len(first) - 1)
+    some = first[:-1] < first[1:]
+    if some.any():
+        out[some] = np.add.reduceat(x, first[:-1][some])
+    return out
+
+
+def products(centres: np.ndarray, at: np.ndarray, w: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """rows x centres, from sparse rows and centres x FEATURES."""
+    return np.stack([sums(c[at] * w, first) for c in np.ascontiguousarray(centres)], axis=1)
+
+
+def unit(idf: np.ndarray, at: np.ndarray, tf: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Weights of the words of rows, of length 1 each."""
+    weight = (1 + np.log(tf)) * idf[at]
+    return weight / np.repeat(np.maximum(np.sqrt(sums(weight * weight, first)), 1e-12), np.diff(first))
+
+
+def nearest(topics: Topics, at: np.ndarray, tf: np.ndarray, first: np.ndarray, langs: list[str | None]) -> np.ndarray:
+    """Topics of rows; the first of a row without words."""
+    if not len(langs):
+        return np.zeros(0, np.int64)
+    near = products(topics.centres.T, at, unit(topics.idf, at, tf, first), first)
+    taken = np.array([topics.taken.get(v, topics.taken[None]) for v in langs]).reshape(len(langs), -1)
+    return np.where(np.diff(first) > 0, np.round(near - taken, 9).argmax(axis=1), 0)
+
+
+def fit_topics(docs: DataFrame, text: str, key: str, lang: str) -> Topics:
+    """Topics of all texts. The same for the same rows, in any order; key is not read."""
+    rows = materialize(counted(docs, text, lang), "counted")
+    out = learnt(rows)
+    discard(rows)
+    return out
+
+
+def learnt(table: DataFrame) -> Topics:
+    """Spherical k-means over all rows of counted() that have words: TF-IDF vectors, each less the mean vector of its
+    language, so that topics are not languages, and of length 1 (0 where it is that mean)."""
+    table = table.filter("n > 0")
+    sc = table.sparkSession.sparkContext
+    one = table.groupBy("_lang").agg(F.count("*").alias("n"))
+    n = one.agg(F.sum("n")).first()[0]
+    if not n:
+        return Topics(np.ones(FEATURES), np.zeros((FEATURES, 1)), {None: np.zeros(1)})
+    langs = sorted(r["_lang"] for r in one.filter(F.col("n") * OWN_MEAN >= n).collect())  # OWN_MEAN at most
+    code = {v: i for i, v in enumerate(langs)}
+
+    def total(groups: int, of: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """groups x FEATURES and groups x languages: sums of what `of` gives for each batch, whole numbers."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            acc = np.zeros(groups * (FEATURES + len(langs) + 1), np.int64)
+            for b in batches:
+                place, value = of(b)
+                acc += np.bincount(place, weights=value, minlength=len(acc)).astype(np.int64)
+            held = np.flatnonzero(acc)
+            yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(acc[held])], ["place", "value"])
+
+        got = table.mapInArrow(lean(run), "place long, value long").groupBy("place").agg(F.sum("value").alias("value")).toArrow()
+        out = np.zeros(groups * (FEATURES + len(langs) + 1))
+        out[np.asarray(got.column("place"))] = np.asarray(got.column("value"))
+        return out.reshape(groups, -1)
+
+    def frequencies(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        at, _, _ = unpacked(b)
+        return at, np.ones(len(at))
+
+    idf = np.log(n / np.maximum(total(1, frequencies)[0, :FEATURES], 1)) + 1
+    width = FEATURES + len(langs) + 1
+    codes = lambda b: np.array([code.get(v, len(langs)) for v in b.column("_lang").to_pylist()], np.int64)
+
+    def by_language(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        at, tf, first = unpacked(b)
+        own, w = codes(b), unit(idf, at, tf, first)
+        own_at = np.repeat(own, np.diff(first)) * width + at
+        return np.concatenate([own_at, own * width + FEATURES]), np.concatenate([np.rint(w / UNIT), np.ones(len(own))])
+
+    got = total(len(langs) + 1, by_language)
+    means = got[:, :FEATURES] * UNIT / np.maximum(got[:, FEATURES, None], 1)
+    sent = sc.broadcast((idf, means, (means * means).sum(axis=1)))
+
+    def vectors(b: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        """at and weights of the unit vectors, first, language and 1 / (length without the mean)."""
+        idf, means, size = sent.value
+        at, tf, first = unpacked(b)
+        own, w = codes(b), unit(idf, at, tf, first)
+        left = 1 + size[own] - 2 * sums(means[np.repeat(own, np.diff(first)), at] * w, first)
+        inverse = np.where(left > 1e-6, 1 / np.sqrt(np.maximum(left, 1e-6)), 0.0)
+        return at, w, first, own, inverse
+
+    def likeness(b: pa.RecordBatch, centres: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+        at, w, first, own, inverse = v = vectors(b)
+        near = products(centres, at, w, first)
+        return np.round((near - (sent.value[1] @ centres.T)[own]) * inverse[:, None], 9), v
+
+    def least_like(centres: np.ndarray) -> np.ndarray:
+        """The text that is least like all centres (of equal ones the first by its words)."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best = None
+            for b in batches:
+                score = likeness(b, centres)[0].max(axis=1) if len(centres) else np.zeros(b.num_rows)
+                if len(score) and (best is None or score.min() <= best[0]):
+                    few = b.take(pa.array(np.flatnonzero(score == score.min())))
+                    first = min(zip(*(few.column(c).to_pylist() for c in ("_lang", "at", "tf")), strict=True))
+                    best = min(x for x in (best, (float(score.min()), *first)) if x)
+            if best:
+                yield pa.RecordBatch.from_pylist([dict(zip(("score", "_lang", "at", "tf"), best, strict=True))], schema)
+
+        schema = pa.schema([("score", pa.float64()), ("_lang", pa.string()), ("at", pa.binary()), ("tf", pa.binary())])
+        r = table.mapInArrow(lean(run), "score double, _lang string, at binary, tf binary").orderBy("score", "_lang", "at", "tf").first()
+        at, tf = np.frombuffer(r["at"], "<u2").astype(np.int64), np.frombuffer(r["tf"], "<u4")
+        y = -means[code.get(r["_lang"], len(langs))]
+        y[at] += unit(idf, at, tf, np.array([0, len(at)]))
+        size = np.linalg.norm(y)
+        return y / size if size > 1e-3 else np.zeros(FEATURES)
+
+    centres = np.zeros((0, FEATURES))
+    while len(centres) < min(TOPICS, n):  # the first, then again and again the text least like all centres so far
+        centres = np.concatenate([centres, least_like(centres)[None]])
+    for _ in range(FITS):
+
+        def of_topics(b: pa.RecordBatch, centres: np.ndarray = centres) -> tuple[np.ndarray, np.ndarray]:
+            like, (at, w, first, own, inverse) = likeness(b, centres)
+            topic, size = like.argmax(axis=1), np.diff(first)
+            value = np.concatenate([w * np.repeat(inverse, size), inverse])
+            return np.concatenate([np.repeat(topic * width, size) + at, topic * width + FEATURES + own]), np.rint(value / UNIT)
+
+        got = total(len(centres), of_topics) * UNIT
+        moved = got[:, :FEATURES] - got[:, FEATURES:] @ means
+        size = np.linalg.norm(moved, axis=1, keepdims=True)
+        moved = np.where(size > 1e-9, moved / np.maximum(size, 1e-9), centres)  # without a text it stays
         if np.allclose(moved, centres):
             break
         centres = moved
-    return Topics(idf, np.ascontiguousarray(centres.T), {v: centres @ m for v, m in means.items()})
+    sent.destroy()
+    return Topics(idf, np.ascontiguousarray(centres.T), {v: centres @ means[i] for v, i in code.items()} | {None: centres @ means[-1]})
 
 
 def described(topics: Topics) -> Callable[[Column, Column], Column]:
@@ -104,22 +235,29 @@ def described(topics: Topics) -> Callable[[Column, Column], Column]:
     def of(text: pa.Array, lang: pa.Array) -> pa.Array:
         n, topic = np.zeros(len(text), np.int64), np.zeros(len(text), np.int64)
         data, off = text_buffers(text)
-        taken = np.array([topics.taken.get(v, topics.taken[None]) for v in lang.to_pylist()]).reshape(len(text), -1)
+        langs = lang.to_pylist()
         for i, j in slices(off):
             w = Words(data, off[i : j + 1], SPACE)
             at, tf, first = distinct_per_row(w.row, features(w).astype(np.uint64), w.n_rows)
-            row, at = np.repeat(np.arange(j - i), np.diff(first)), at.astype(np.int64)
-            weight = (1 + np.log(tf)) * topics.idf[at]
-            norm = np.sqrt(np.bincount(row, weights=weight * weight, minlength=j - i))
-            near = np.stack([np.bincount(row, weights=weight * c[at], minlength=j - i) for c in topics.centres.T], axis=1)
-            n[i:j], topic[i:j] = w.count, np.round(near / np.maximum(norm, 1e-12)[:, None] - taken[i:j], 9).argmax(axis=1)
-        topic[n == 0] = 0
+            n[i:j], topic[i:j] = w.count, nearest(topics, at.astype(np.int64), tf, first, langs[i:j])
         trim()
         return pa.StructArray.from_arrays([pa.array(n), pa.array(topics.names()).take(pa.array(topic))], ["n", "topic"])
 
     return of
 
 
+def _cells(rows: DataFrame, topics: Topics) -> DataFrame:
+    """Words by source, language and topic, from the rows of counted()."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            topic = nearest(topics, *unpacked(b), b.column("_lang").to_pylist())
+            yield pa.RecordBatch.from_arrays([b.column("_source"), b.column("_lang"), pa.array(topics.names()).take(pa.array(topic)), b.column("n")], ["_source", "_lang", "_topic", "n"])
+
+    out = rows.mapInArrow(lean(run), "_source string, _lang string, _topic string, n long")
+    return out.groupBy("_source", "_lang", "_topic").agg(F.sum("n").alias("_tokens"))
+
+
 def none(c: str) -> Column:
     return F.coalesce(F.when(F.col(c) != "", F.col(c)), F.lit("(none)"))
 
@@ -250,8 +388,11 @@ def sample(docs: DataFrame, given: Mapping[str, Mapping[str, float]] | None = No
     """The kept rows of docs with n_tokens, topic, probability and weight (columns of those names are replaced).
 
     One aggregation by cell, combined before the shuffle; the cells are broadcast only where their number is checked."""
-    keyed = _keyed(docs, text, key, fit_topics(docs, text, key, "lang"))
-    cells = materialize(keyed.groupBy("_source", "_lang", "_topic").agg(F.sum("_n").alias("_tokens")), "cells")
+    rows = materialize(counted(docs, text, "lang"), "counted")
+    topics = learnt(rows)
+    keyed = _keyed(docs, text, key, topics)
+    cells = materialize(_cells(rows, topics), "cells")
+    discard(rows)
     small = cells.count() <= most_cells
     plan = (_small if small else _large)(cells, given or {}, budget)
     plan = plan.select("_source", "_lang", "_topic", F.col("probability").alias("_p"), F.col("weight").alias("_w"))
