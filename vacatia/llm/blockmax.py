@@ -9,12 +9,13 @@ single precision, plus more than that can be off, can reach it. What is left is
 from __future__ import annotations
 
 import ctypes
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from pathlib import Path
 
 import numpy as np
 
-from vacatia.llm.common import slices
+from vacatia.llm.common import Pieces, slices
 
 BLOCK = 128
 #: Queries that are searched at a time, and the sums (queries times rows) that are walked at a time (they should stay in cache).
@@ -27,7 +28,10 @@ DENSE, PIVOT = 64, 0.0015
 #: Blocks that a query without a score to reach looks into first, those of the highest bounds.
 FIRST = 4
 POSTINGS_AT_ONCE = 1_000_000
+#: Values of a piece of lists that are laid out for other processes.
+PIECE = 1 << 19
 NOWHERE = np.iinfo(np.int64).max
+Take = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def one_thread() -> None:
@@ -46,32 +50,93 @@ class Lists:
     tables: of the lists of each width, rows and weights, filled up with row 0 and weight 0; table and place: where a list is."""
 
     def __init__(self, n: int, first: np.ndarray, row: np.ndarray, weight: np.ndarray, dense: int = DENSE):
-        self.n, self.size = n, np.diff(first)
-        self.blocks = -(-n // BLOCK)
-        self.width = self.blocks * BLOCK
+        self._plan(n, first, dense)
+        take = lambda post: (row[post], weight[post])
+        self.exact = self._exact(np.flatnonzero(self.may), first, take)
+        self.rough = self.exact.astype(np.float32)
+        self.maxima = self._maxima(self.rough)
+        self.tables = [self._table(w, np.flatnonzero(self.table == k), first, take) for k, w in enumerate(self.widths)]
+
+    def _plan(self, n: int, first: np.ndarray, dense: int) -> None:
+        """Where each list is to lie."""
+        self._rows(n)
+        self.size = np.diff(first)
         self.may = self.size * dense > n
         self.at = np.cumsum(self.may) - 1
-        self.exact = np.zeros((int(self.may.sum()), self.width))
-        for t in np.flatnonzero(self.may).tolist():
-            self.exact[self.at[t], row[first[t] : first[t + 1]]] = weight[first[t] : first[t + 1]]
-        self.rough = self.exact.astype(np.float32)
-        self.maxima = self.rough.reshape(len(self.rough), self.blocks, BLOCK).max(axis=2)
-        widths = list(WIDTHS)
-        while widths[-1] < self.size.max(initial=1):
-            widths.append(2 * widths[-1])
-        self.table = np.searchsorted(widths, self.size).astype(np.uint8)
+        self.widths = list(WIDTHS)
+        while self.widths[-1] < self.size.max(initial=1):
+            self.widths.append(2 * self.widths[-1])
+        self.table = np.searchsorted(self.widths, self.size).astype(np.uint8)
         self.place = np.zeros(len(self.size), np.int64)
-        self.tables = []
-        for k, w in enumerate(widths):  # one width after the other, so that what it takes stays small
+        for k in range(len(self.widths)):
             lists = np.flatnonzero(self.table == k)
             self.place[lists] = np.arange(len(lists))
-            rows, weights = np.zeros((len(lists), w), np.uint16 if n <= 1 << 16 else np.int64), np.zeros((len(lists), w))
-            size = self.size[lists]
-            past = np.cumsum(size) - size
-            within = np.arange(int(size.sum())) - np.repeat(past, size)
-            post, at = np.repeat(first[lists], size) + within, (np.repeat(np.arange(len(lists)), size), within)
-            rows[at], weights[at] = row[post], weight[post]
-            self.tables.append((rows, weights))
+
+    def _rows(self, n: int) -> None:
+        self.n, self.blocks = n, -(-n // BLOCK)
+        self.width = self.blocks * BLOCK
+        self.kind = np.uint16 if n <= 1 << 16 else np.int64
+
+    def _postings(self, lists: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of some lists: where each posting is, its list (a place in lists) and its place in that."""
+        size = self.size[lists]
+        within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        return np.repeat(first[lists], size) + within, np.repeat(np.arange(len(lists)), size), within
+
+    def _exact(self, lists: np.ndarray, first: np.ndarray, take: Take) -> np.ndarray:
+        out = np.zeros((len(lists), self.width))
+        for t in range(len(lists)):  # one after the other, so that what it takes stays small
+            post, _, _ = self._postings(lists[t : t + 1], first)
+            row, weight = take(post)
+            out[t, row] = weight
+        return out
+
+    def _maxima(self, rough: np.ndarray) -> np.ndarray:
+        return rough.reshape(len(rough), self.blocks, BLOCK).max(axis=2)
+
+    def _table(self, width: int, lists: np.ndarray, first: np.ndarray, take: Take) -> tuple[np.ndarray, np.ndarray]:
+        rows, weights = np.zeros((len(lists), width), self.kind), np.zeros((len(lists), width))
+        post, *at = self._postings(lists, first)
+        rows[tuple(at)], weights[tuple(at)] = take(post)
+        return rows, weights
+
+    @classmethod
+    def laid_out(cls, n: int, first: np.ndarray, take: Take, dense: int = DENSE) -> dict[str, np.ndarray | Pieces]:
+        """The arrays of the lists, for share() and mapped(): in pieces of at most PIECE values, or one list.
+
+        take: rows and weights of the postings at given places."""
+        s = cls.__new__(cls)
+        s._plan(n, first, dense)
+        may = np.flatnonzero(s.may)
+
+        def dealt(lists: np.ndarray, width: int) -> Iterator[np.ndarray]:
+            step = max(1, PIECE // width)
+            return (lists[i : i + step] for i in range(0, len(lists), step))
+
+        def pieces(kind: type, lists: np.ndarray, width: int, values: int, of: Callable[[np.ndarray], np.ndarray]) -> Pieces:
+            return Pieces(kind, len(lists) * values, (of(some).ravel() for some in dealt(lists, width)))
+
+        rough = lambda some: s._exact(some, first, take).astype(np.float32)
+        out: dict[str, np.ndarray | Pieces] = {k: getattr(s, k).astype(np.int32) for k in ("size", "at", "place")}
+        out |= {"may": s.may, "table": s.table, "exact": pieces(float, may, s.width, s.width, lambda some: s._exact(some, first, take))}
+        out |= {"rough": pieces(np.float32, may, s.width, s.width, rough), "maxima": pieces(np.float32, may, s.width, s.blocks, lambda some: s._maxima(rough(some)))}
+        for k, w in enumerate(s.widths):
+            lists = np.flatnonzero(s.table == k)
+            for x, (name, kind) in enumerate((("rows", s.kind), ("weights", float))):
+                out[f"{name}{w}"] = pieces(kind, lists, w, w, lambda some, w=w, x=x: s._table(w, some, first, take)[x])
+        return out
+
+    @classmethod
+    def mapped(cls, n: int, arrays: Mapping[str, np.ndarray]) -> Lists:
+        """Of what laid_out() gave, where it lies: nothing is copied."""
+        s = cls.__new__(cls)
+        s._rows(n)
+        x = {k: np.asarray(v) for k, v in arrays.items()}
+        s.size, s.at, s.place, s.may, s.table = (x[k] for k in ("size", "at", "place", "may", "table"))
+        s.exact, s.rough, s.maxima = (x[k].reshape(-1, w) for k, w in (("exact", s.width), ("rough", s.width), ("maxima", s.blocks)))
+        s.widths = sorted(int(k[4:]) for k in x if k.startswith("rows"))
+        s.tables = [(x[f"rows{w}"].reshape(-1, w), x[f"weights{w}"].reshape(-1, w)) for w in s.widths]
+        return s
 
 
 def best_rows(s: Lists, first: np.ndarray, term: np.ndarray, factor: np.ndarray | None, least: np.ndarray, fresh: np.ndarray, single: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

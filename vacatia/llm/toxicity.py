@@ -85,29 +85,29 @@ class Index:
     """The examples' vectors as posting lists over their places in the order of ids, and what a vote needs."""
 
     def __init__(self, spark: SparkSession, ids: np.ndarray, labels: np.ndarray, words: str, arrays: dict[str, np.ndarray | Pieces]):
-        """words: the shared file of the vocabulary; arrays: idf (with the factor of telling terms), held (examples of a term),
-        first, row and weight of the lists."""
+        """words: the shared file of the vocabulary and its buckets; arrays: idf (with the factor of telling terms), held (examples of
+        a term), and the lists as Lists.laid_out() gives them."""
         self.ids, self.labels, self.prior = ids, labels, float(labels.mean())
         self.steps = np.array([0.0, 1.0]), np.array([0.0, 1.0])
         self.words, self.file = words, share(spark, "examples", arrays)
-        self._ready: tuple[dict[str, np.ndarray], Lists, np.ndarray] | None = None
+        self._ready: tuple[dict[str, np.ndarray], Lists] | None = None
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_ready": None}
 
-    def ready(self) -> tuple[dict[str, np.ndarray], Lists, np.ndarray]:
-        """The mapped arrays, the lists and the buckets of the vocabulary; made once a process, and gone with the broadcast index."""
+    def ready(self) -> tuple[dict[str, np.ndarray], Lists]:
+        """The mapped arrays and the lists, which are mapped too, so that a worker holds none of them; once a process."""
         if self._ready is None:
             one_thread()
-            x = shared(self.words) | shared(self.file)
-            self._ready = x, Lists(len(self.ids), x["first"], x["row"], x["weight"], DENSE), _buckets(x["vocabulary"])
+            x = {k: np.asarray(v) for f in (self.words, self.file) for k, v in shared(f).items()}
+            self._ready = x, Lists.mapped(len(self.ids), x)
         return self._ready
 
     def nearest(self, v: Vectors, k: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples to each row of v, -1 where there are fewer; own: an example that is left out."""
         n, k = len(v.first) - 1, min(k, len(self.ids))
         who, cosine = np.full((n, k), -1), np.full((n, k), -1.0)
-        _, lists, _ = self.ready()
+        _, lists = self.ready()
         more = k if own is None else min(k + 1, len(self.ids))
         for a in range(0, n, GROUP):
             z = min(a + GROUP, n)
@@ -134,9 +134,9 @@ class Index:
 
     def vectors_of(self, data: np.ndarray, offsets: np.ndarray, by_several: bool = False) -> Vectors:
         """Of a slice of texts; by_several: only of terms that several examples hold."""
-        x, _, buckets = self.ready()
+        x, _ = self.ready()
         rows, h, n = _terms(data, offsets)
-        row, term, tf = counted(*_known(rows, h, x["vocabulary"], buckets), len(x["vocabulary"]))
+        row, term, tf = counted(*_known(rows, h, x["vocabulary"], x["buckets"]), len(x["vocabulary"]))
         if by_several:
             some = x["held"][term] > 1
             row, term, tf = row[some], term[some], tf[some]
@@ -245,13 +245,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     for s in pieces(len(term)):
         term[s] = np.searchsorted(vocabulary, hashes[s])
     del hashes, new
-    n_terms, words = len(vocabulary), share(docs.sparkSession, "vocabulary", {"vocabulary": vocabulary})
+    n_terms, words = len(vocabulary), share(docs.sparkSession, "vocabulary", {"vocabulary": vocabulary, "buckets": _buckets(vocabulary)})
     del vocabulary
     trim()
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared(words)["vocabulary"]
-        n, df, known = 0, np.zeros(n_terms, np.int64), _buckets(vocabulary)
+        vocabulary, known = (np.asarray(shared(words)[k]) for k in ("vocabulary", "buckets"))
+        n, df = 0, np.zeros(n_terms, np.int64)
         for b in batches:
             n += b.num_rows
             data, off = _lowered(b.column("text"))
@@ -283,11 +283,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     held = np.bincount(term, minlength=n_terms)
     by = np.argsort(term, kind="stable").astype(np.int32 if len(term) < 1 << 31 else np.int64)
     del term
-    small = np.uint16 if len(ids) <= 1 << 16 else np.int64
-    arrays = {"idf": idf, "first": np.concatenate([[0], np.cumsum(held)]), "weight": Pieces(float, len(by), (weight[by[s]] for s in pieces(len(by))))}
-    arrays |= {"held": held.astype(np.int32), "row": Pieces(small, len(by), (row[by[s]] for s in pieces(len(by))))}
+    lists = Lists.laid_out(len(ids), np.concatenate([[0], np.cumsum(held)]), lambda post: (row[by[post]], weight[by[post]]), DENSE)
+    arrays = {"idf": idf, "held": held.astype(np.int32)} | lists
     out = Index(docs.sparkSession, ids, y, words, arrays)
-    del weight, by, row, arrays, idf, held
+    del weight, by, row, arrays, lists, idf, held
     trim()
     place = {i: n for n, i in enumerate(ids.tolist())}
     sent = docs.sparkSession.sparkContext.broadcast(out)  # bounded by MOST_EXAMPLES
@@ -337,6 +336,7 @@ def score(docs: DataFrame, index: Index | None, text: str = "text", key: str = "
         for b in batches:
             for i, scores, evidence in _scored(sent.value, b.column("text"), True):
                 yield pa.RecordBatch.from_arrays([b.column(key).slice(i, len(scores)), pa.array(scores), pa.array(evidence)], [key, "score", "evidence"])
+            trim()
 
     return docs.select(key, F.col(text).alias("text")).mapInArrow(lean(run), schema)
 
@@ -351,6 +351,7 @@ def reject(docs: DataFrame, index: Index | None, threshold: float = THRESHOLD, t
         for b in batches:
             for i, scores, _ in _scored(sent.value, b.column(text), False):
                 yield b.slice(i, len(scores)).filter(pa.array(scores < threshold))
+            trim()
 
     return docs.mapInArrow(lean(run), docs.schema)
 
